@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup
+from tidemark.llm import line_dedup, token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 _ORACLES: dict[str, str] = {
     "op9_line_dedup": line_dedup.ORACLE,
