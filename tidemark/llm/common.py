@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Name of the internal row key; operators never let it reach their results.
 UID = "__row"
@@ -92,9 +93,28 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def unpacked(col: Column, width: int) -> Column:
-    """Length in elements of a packed binary column."""
-    return F.octet_length(col) / width
+def carried(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`keyed` rows that carry the other columns of `docs` along in a struct, whatever their names."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(
+        F.monotonically_increasing_id().alias(UID),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        F.struct(*rest).alias("rest"),
+    )
+
+
+def restored(rows: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """The columns of `docs` from rows of `carried`."""
+    rest = rows.schema["rest"].dataType.names
+    of = iter(range(len(rest)))
+    return rows.select(*[F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col(f"rest.`{rest[next(of)]}`").alias(c) for c in docs.columns])
+
+
+def with_fields(schema: StructType, *more: tuple[str, str]) -> StructType:
+    """A schema with fields (name, type) added, or put in place of those of the same name."""
+    names = {n for n, _ in more}
+    return StructType([f for f in schema if f.name not in names] + list(StructType.fromDDL(", ".join(f"{n} {t}" for n, t in more)))) if more else schema
 
 
 # --- texts as bytes -------------------------------------------------------------------------
@@ -146,7 +166,7 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, delimiter: np.ndarray = WHITE, lower: bool = False):
         self.data = LOWER[data] if lower else data
         n = len(data)
-        word = ~delimiter[data]
+        word = ~delimiter[self.data]
         before, after = np.zeros(n, bool), np.zeros(n, bool)
         before[1:], after[:-1] = word[:-1], word[1:]
         inner = offsets[(offsets > 0) & (offsets < n)]
