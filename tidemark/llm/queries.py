@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, line_dedup, packing, quality, token_counts, token_files
+from tidemark.llm import decontamination, line_dedup, packing, quality, substring_dedup, token_counts, token_files
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
     "op5_token_files": token_files.op5_token_files,
     "op6_packing": packing.op6_packing,
@@ -17,6 +18,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": token_counts.op10_token_counts,
 }
 _ORACLES: dict[str, str] = {
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_quality_rules": quality.ORACLE,
     "op8_decontamination": decontamination.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
