@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, line_dedup, packing, quality, substring_dedup, token_counts, token_files
+from tidemark.llm import decontamination, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, token_files
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_packing": packing.op6_packing,
     "op8_decontamination": decontamination.op8_decontamination,
