@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, token_files
+from tidemark.llm import decontamination, html_text, line_dedup, near_dedup, packing, quality, substring_dedup, token_counts, token_files, toxicity
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_packing": packing.op6_packing,
+    "op7_html_text": html_text.op7_html_text,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
