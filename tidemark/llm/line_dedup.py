@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, UID, keyed, materialize, mix, plan_bytes, table, tune
+from tidemark.llm.common import SPACE, UID, carried, keyed, materialize, mix, plan_bytes, restored, table, tune, with_fields
 
 MIN_DOCS, MIN_KEY_CHARS = 10, 1
 #: Filters of up to this many bytes in all are broadcast; beyond it, line keys are joined to the counts.
@@ -200,11 +200,10 @@ class LineIndex:
         """Keys at or above the limit, with their counts."""
         return self.refs.filter(F.col("docs") >= self.min_docs)
 
-    def drop_lines(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(row, doc_id, n_lines, n_dropped, text) of `docs`, all of whose lines the index has counted."""
-        spark = docs.sparkSession
+    def drop_lines(self, rows: DataFrame) -> DataFrame:
+        """Rows of `keyed` or `carried` with n_lines, n_dropped and the text that stays; the index has counted all their lines."""
+        spark = rows.sparkSession
         tune(spark)
-        rows = keyed(docs, id_col, text_col)
         filters = materialize(self.filters())
         size = filters.select(F.sum(F.octet_length("cells") + F.octet_length("exceptions"))).first()[0] or 0
         if size <= FILTER_BROADCAST_BYTES:
@@ -233,16 +232,14 @@ def _by_filter(spark: SparkSession, filters: DataFrame, shards: int):
     return member
 
 
-OUT = f"{UID} long, doc_id long, n_lines long, n_dropped long, text string"
+ADDED = [("n_lines", "long"), ("n_dropped", "long"), ("text", "string")]
 
 
-def _kept(ids: list, lines: list[list[bytes]], dropped: list[np.ndarray | list[bool]]) -> pa.RecordBatch:
-    uid, doc = ids
+def _kept(batch: pa.RecordBatch, lines: list[list[bytes]], dropped: list[np.ndarray]) -> pa.RecordBatch:
+    same = [n for n in batch.schema.names if n not in ("text", "lines")]
     text = [b"\n".join([x for x, d in zip(a, b) if not d]) if any(b) else b"\n".join(a) for a, b in zip(lines, dropped)]
-    return pa.record_batch(
-        [uid, doc, pa.array([len(a) for a in lines], pa.int64()), pa.array([int(sum(b)) for b in dropped], pa.int64()), pa.array(text, pa.binary()).cast(pa.string())],
-        [UID, "doc_id", "n_lines", "n_dropped", "text"],
-    )
+    added = [pa.array([len(a) for a in lines], pa.int64()), pa.array([int(sum(b)) for b in dropped], pa.int64()), pa.array(text, pa.binary()).cast(pa.string())]
+    return pa.record_batch([*(batch.column(n) for n in same), *added], [*same, *dict(ADDED)])
 
 
 def _dropped(rows: DataFrame, member, min_key_chars: int) -> DataFrame:
@@ -254,9 +251,9 @@ def _dropped(rows: DataFrame, member, min_key_chars: int) -> DataFrame:
             hit = np.zeros(len(keys), bool)
             if some:
                 hit[some] = member([xxhash.xxh3_128_digest(keys[i]) for i in some])
-            yield _kept([batch.column(UID), batch.column("doc_id")], lines, np.split(hit, np.cumsum([len(a) for a in lines])[:-1]))
+            yield _kept(batch, lines, np.split(hit, np.cumsum([len(a) for a in lines])[:-1]))
 
-    return rows.mapInArrow(run, OUT)
+    return rows.mapInArrow(run, with_fields(rows.schema, *ADDED))
 
 
 def _dropped_by_join(rows: DataFrame, index: LineIndex) -> DataFrame:
@@ -275,16 +272,22 @@ def _dropped_by_join(rows: DataFrame, index: LineIndex) -> DataFrame:
             out = [np.zeros(len(a), bool) for a in lines]
             for o, at in zip(out, batch.column("lines").to_pylist()):
                 o[at or []] = True
-            yield _kept([batch.column(UID), batch.column("doc_id")], lines, out)
+            yield _kept(batch, lines, out)
 
     members = index.members().select("key", F.explode(F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).alias("salt"))
     hit = rows.select(UID, "text").mapInArrow(keys, f"{UID} long, line long, key binary, salt int").join(members, ["key", "salt"]).groupBy(UID).agg(F.collect_list("line").alias("lines"))
-    return rows.join(hit, UID, "left").mapInArrow(drop, OUT)
+    return rows.join(hit, UID, "left").mapInArrow(drop, with_fields(rows.schema, *ADDED))
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Drop lines that stand in at least `min_docs` documents: (row, doc_id, n_lines, n_dropped, text)."""
-    return LineIndex.build(docs, min_docs, min_key_chars, id_col, text_col).drop_lines(docs, id_col, text_col)
+    return LineIndex.build(docs, min_docs, min_key_chars, id_col, text_col).drop_lines(keyed(docs, id_col, text_col))
+
+
+def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with the lines gone, and its own columns."""
+    found = LineIndex.build(docs, min_docs, min_key_chars, id_col, text_col).drop_lines(carried(docs, id_col, text_col))
+    return restored(found, docs, text_col)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

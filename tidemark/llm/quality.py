@@ -21,7 +21,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import UID, carried, materialize, restored, table
 
 ALPHA, DELTA = 0.05, 0.05
 MIN_WORDS = 50
@@ -144,11 +144,11 @@ def verdict(steps: dict, stratum_col: str | None = "lang") -> Column:
 
 def quality_filter(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", stratum_col: str | None = "lang") -> DataFrame:
     """The rows of `docs` that pass, with the columns of `docs`."""
-    few = [c for c in dict.fromkeys((id_col, stratum_col)) if c]
-    measures = materialize(measured(docs.select(*[f"`{c}`" for c in few], f"`{text_col}`"), text_col).drop(text_col))
-    steps = choose(measures, labels, id_col, stratum_col)
-    rows = measured(docs, text_col)
-    return rows.filter(verdict(steps, stratum_col)).select(*[f"`{c}`" for c in docs.columns])
+    rows = carried(docs, id_col, text_col)
+    stratum = F.col(f"rest.`{stratum_col}`").cast("string") if stratum_col else F.lit("")
+    measures = materialize(measured(rows.select(UID, "doc_id", stratum.alias("stratum"), "text")).drop("text"))
+    kept = measures.filter(verdict(choose(measures, labels, "doc_id", "stratum"), "stratum")).select(UID)
+    return restored(rows.join(kept, UID, "left_semi"), docs, text_col)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
