@@ -1,15 +1,19 @@
 """Token ids of whole texts, with each distinct piece of text encoded once per worker.
 
-The library's pre-tokenizers never join text across certain places, so a text's ids are those of
-its pieces in a row. `word` vocabularies (white space dropped) break at ASCII white space; `byte`
-vocabularies break before a word's leading space and around runs of white space.
+The library's pre-tokenizers never join text across certain places, so a text's ids are those of its pieces in a row.
+`word` vocabularies (white space dropped) break at ASCII white space. `byte` vocabularies break before a word's leading
+space and around runs of white space. Of unknown pieces, those that are one word (letters that normalization leaves
+alone, perhaps with a full stop or comma behind, which is a piece of its own) go to the library's model; all
+others go through the whole library.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -18,8 +22,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Unicode's White_Space, written out: Python's `\s` has four more.
 _WS = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _BYTE_PIECES = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-#: Pieces a worker remembers, and the longest one worth remembering.
-CACHE_PIECES, CACHE_LENGTH = 400_000, 64
+_ANY_WS = re.compile(f"[{_WS}]")
+#: Pieces a worker remembers (about 200 bytes each), and the longest one worth remembering.
+CACHE_PIECES, CACHE_LENGTH = 900_000, 64
+#: Letters below this code are letters in every Unicode version that a library may follow.
+_OLD_LETTERS = "\u0530"
 
 
 def path(name: str) -> str:
@@ -29,59 +36,119 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Pieces(dict):
-    """Ids of pieces, by piece. When full, the later half goes: the commonest pieces came first."""
+class Pieces:
+    """Ids of pieces. When there are too many, the later half goes: the commonest pieces came first."""
 
     def __init__(self, file: str, kind: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.kind = kind
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
+        self.packed = [np.array([i], self.dtype).tobytes() for i in range(size)]
+        # the byte alphabet of byte-level vocabularies: printable Latin-1 stands for itself, other bytes are numbered from 256
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        self.alphabet = [chr(b if b in shown else next(other)) for b in range(256)]
+        #: By piece; `spaced`: pieces after one space, without it. A `None` marks what only the slow path can read.
+        self.plain: dict[bytes, bytes | None] = {}
+        self.spaced: dict[bytes, bytes | None] = {}
+        self.line_feed = self.library(["\n"])[0] if kind == "byte" else b""
 
     def library(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as the library gives them."""
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: set) -> dict:
-        """Encode unknown pieces, remember the short ones, and return what isn't remembered."""
-        new, rest = list(pieces), {}
-        texts = [p.decode("utf-8", "replace") for p in new] if self.kind == "word" else new
-        if len(self) + len(new) > CACHE_PIECES:
-            for k in list(self)[CACHE_PIECES // 2 :]:
-                del self[k]
-        for i in range(0, len(new), 4096):
-            for p, ids in zip(new[i : i + 4096], self.library(texts[i : i + 4096])):
-                if len(p) <= CACHE_LENGTH and len(self) < CACHE_PIECES:
-                    self[p] = ids
-                else:
-                    rest[p] = ids
-        return rest
-
-    def pieces(self, text: bytes) -> list:
-        return text.split() if self.kind == "word" else _BYTE_PIECES.findall(text.decode("utf-8", "replace"))
+    def is_word(self, t: str) -> bool:
+        """Is it one word, letters only, that the library's normalization leaves alone?"""
+        if not t.isalpha():
+            return False
+        return t.isascii() or max(t) < _OLD_LETTERS and unicodedata.is_normalized("NFC", t) and (self.kind == "byte" or t == t.lower())
+
+    def word(self, t: str, spaced: bool) -> bytes:
+        """Ids of one word, after a space if `spaced`."""
+        letters = t if t.isascii() else "".join([self.alphabet[b] for b in t.encode()])
+        return b"".join([self.packed[x.id] for x in self.model.tokenize(self.alphabet[32] + letters if spaced else letters)])
+
+    def learn(self, pieces: list[bytes], known: dict[bytes, bytes | None], spaced: bool) -> None:
+        """Encode unknown pieces into `known`."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        if self.kind == "word":  # the library lower-cases; for ASCII that is known
+            texts = [t.lower() if t.isascii() else t for t in texts]
+        bases = [t[:-1] if t[-1:] in (".", ",") else t for t in texts]
+        ids: dict[str, bytes | None] = {b: self.word(b, spaced) if self.is_word(b) else None for b in set(bases)}
+        ends = dict(zip((".", ","), self.library([".", ","])))
+        rest = [t for t, b in zip(texts, bases) if ids[b] is None]
+        whole = dict(zip(rest, self.library([" " * spaced + t for t in rest])))
+        for p, t, b in zip(pieces, texts, bases):
+            if self.kind == "byte" and (not t or _ANY_WS.search(t)):
+                known[p] = None
+            else:
+                known[p] = whole[t] if t in whole else ids[b] if t == b else ids[b] + ends[t[-1]]
+
+    def _fast(self, text: bytes) -> bytes:
+        """A text's ids from known pieces; KeyError for an unknown one, TypeError for what the slow path must read."""
+        if self.kind == "word":
+            return b"".join(map(self.plain.__getitem__, text.split()))
+        lines = []
+        for line in text.split(b"\n"):
+            first, *more = line.split(b" ")
+            lines.append(b"".join([self.plain[first], *map(self.spaced.__getitem__, more)]))
+        return self.line_feed.join(lines)
+
+    def _slow(self, text: bytes) -> bytes:
+        return b"".join(self.library(_BYTE_PIECES.findall(text.decode("utf-8", "replace"))))
+
+    def _unknown(self, text: bytes) -> tuple[set[bytes], set[bytes]]:
+        if self.kind == "word":
+            return set(text.split()).difference(self.plain), set()
+        lines = [line.split(b" ") for line in text.split(b"\n")]
+        return {x[0] for x in lines}.difference(self.plain), set(chain.from_iterable(x[1:] for x in lines)).difference(self.spaced)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian ids of each whole text."""
-        out: list[bytes] = []
-        for text in texts:
-            if self.kind == "byte" and any(s.encode() in text for s in self.special):
-                out += self.library([text.decode("utf-8", "replace")])
+        out: list[bytes] = [b""] * len(texts)
+        late, plain, spaced = [], set(), set()
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.kind == "byte" and any(s in text for s in self.special):
+                out[i] = self.library([text.decode("utf-8", "replace")])[0]
                 continue
-            parts = self.pieces(text)
             try:
-                out.append(b"".join(map(self.__getitem__, parts)))
-            except KeyError:
-                distinct = set(parts)
-                known = {p: self[p] for p in distinct if p in self}
-                unknown = distinct.difference(known)
-                known |= self.learn(unknown)  # may forget pieces of this text; `known` has them
-                known |= {p: self[p] for p in unknown if p not in known}
-                out.append(b"".join(map(known.__getitem__, parts)))
+                out[i] = self._fast(text)
+            except (KeyError, TypeError):
+                late.append(i)
+                a, b = self._unknown(text)
+                plain |= a
+                spaced |= b
+        if late:
+            for new, known, space in ((plain, self.plain, False), (spaced, self.spaced, True)):
+                if len(known) + len(new) > CACHE_PIECES:
+                    for k in list(known)[CACHE_PIECES // 2 :]:
+                        del known[k]
+                self.learn(list(new), known, space)
+            for i in late:
+                out[i] = self._late(texts[i])
+            for known, new in ((self.plain, plain), (self.spaced, spaced)):
+                for p in [p for p in new if len(p) > CACHE_LENGTH]:
+                    known.pop(p, None)
         return out
 
+    def _late(self, text: bytes) -> bytes:
+        try:
+            return self._fast(text)
+        except TypeError:
+            return self._slow(text)
+        except KeyError:  # forgotten meanwhile
+            a, b = self._unknown(text)
+            self.learn(list(a), self.plain, False)
+            self.learn(list(b), self.spaced, True)
+            return self._late(text)
+
 
 @lru_cache(maxsize=4)
 def pieces_of(file: str, kind: str) -> Pieces:
