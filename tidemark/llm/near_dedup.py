@@ -5,9 +5,11 @@
 2. A packed shuffle brings equal band keys together. Every bucket gives links to its hub only (one row per
    member). The packed signatures estimate similarity by counting equal lanes, corrected for chance collisions;
    each node's best hub is confirmed on full sets, and components are formed.
-3. Buckets that still hold nodes of two components are compared in full, but only across components, by the
-   estimate; what passes is confirmed on full sets. Large buckets are cut into chunks, compared pair by pair
-   of chunks in tasks of their own. A pair inside one component can't change the result, so no such pair is made.
+3. In buckets that still hold nodes of two components, estimates are compared across components. First each node
+   names its best partner only, which is confirmed as before. Then the nodes that still have a partner across
+   components bring their full sets to their buckets, where all such pairs are confirmed in place: what leaves
+   a bucket is one link per pair of components at most. Large buckets are cut into chunks, compared pair by pair
+   of chunks in tasks of their own. A pair inside one component can't change the result, so none is looked at.
 
 A pair at the threshold is missed with probability (1 - 0.75^4)^40 < 3e-7 by the bands and about 1e-6 by the estimate's margin.
 
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, UID, Words, buffers, carried, keyed, materialize, mix, reducers, restored, slices, table, tune, windows
+from tidemark.llm.common import K1, UID, Words, buffers, carried, drop_written, keyed, materialize, mix, reducers, restored, slices, table, tune, windows
 from tidemark.llm.components import components
 from tidemark.llm.packed import cut, groups, repeated
 
@@ -37,6 +39,8 @@ LEAST_ESTIMATE = 0.59
 #: Nodes of a bucket compared in one task at once.
 CHUNK = 4096
 BLOCK_RECORDS = 1_000_000
+#: Node numbers (8 bytes each) that are broadcast to pick texts; more are joined by a shuffle.
+MOST_BROADCAST_NODES = 1_000_000
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * K1)
 XOR, MULTIPLY = _SEEDS[:PERMUTATIONS], _SEEDS[PERMUTATIONS:] | np.uint64(1)
 LANES = np.uint64(0x1111111111111111)
@@ -189,60 +193,127 @@ def hub_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
     return _estimated(pairs).groupBy("u").agg(F.max_by("v", F.struct("est", "v")).alias("v"))
 
 
-def crossing_pairs(members: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(u, v): pairs of a bucket in different components whose signatures pass."""
+def met(members: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Rows (bucket, low, high, own, node, root, sig) of buckets with two components or more, a group for each pair of chunks."""
     placed = members.select("bucket", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("node"), chunks).cast("int")
     alive = placed.join(mixed, "bucket").withColumns({"chunks": chunks, "own": own})
-    # every chunk meets every other, and itself, in a group (bucket, low, high)
-    met = alive.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root")
-    met = met.join(sigs, "node").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "root")
+    # every chunk meets every other, and itself
+    pairs = alive.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return pairs.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root").join(sigs, "node").select(*GROUP, "own", "node", "root", "sig")
+
+
+GROUP = ["bucket", "low", "high"]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[tuple]]:
+    """Rows of each group, from batches that are sorted by group."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if held and held[0][:3] != row[:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _crossing(group: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, estimate) of a group's pairs across components whose estimate passes, i before j, a block of i at a time."""
+    own, node, root = (np.array([g[k] for g in group]) for k in (3, 4, 5))
+    sig = np.frombuffer(b"".join(g[6] for g in group), np.uint64).reshape(len(group), -1)
+    between = group[0][1] != group[0][2]
+    for i in range(0, len(group), 128):
+        a = np.arange(i, min(i + 128, len(group)))
+        for k in range(i, len(group), 1024):
+            c = np.arange(k, min(k + 1024, len(group)))
+            wanted = (root[a, None] != root[c]) & (a[:, None] < c)
+            if between:
+                wanted &= own[a, None] != own[c]
+            if not wanted.any():
+                continue
+            est = estimates(sig[a, None, :], sig[c][None])
+            p, q = np.nonzero(wanted & (est >= LEAST_ESTIMATE))
+            if len(p):
+                yield a[p], c[q], est[p, q]
+
+
+def best_partners(groups_: DataFrame) -> DataFrame:
+    """(bucket, low, high, node, partner, est): each node of a group with its best partner across components, if any passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compared(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-            low, high = group[0][1], group[0][2]
-            node, root = np.array([g[4] for g in group]), np.array([g[5] for g in group])
-            own, sig = np.array([g[3] for g in group]), np.frombuffer(b"".join(g[6] for g in group), np.uint64).reshape(len(group), -1)
-            for i in range(0, len(group), 256):
-                a = slice(i, min(i + 256, len(group)))
-                b = np.flatnonzero(root != root[i]) if (root[a] == root[i]).all() else np.arange(len(group))
-                for k in range(0, len(b), 1024):
-                    c = b[k : k + 1024]
-                    wanted = (root[a, None] != root[c]) & (node[a, None] < node[c])
-                    if low != high:
-                        wanted &= own[a, None] != own[c]
-                    if not wanted.any():
-                        continue
-                    est = estimates(sig[a, None, :], sig[c][None])
-                    p, q = np.nonzero(wanted & (est >= LEAST_ESTIMATE))
-                    if len(p):
-                        yield pa.record_batch([pa.array(node[a][p]), pa.array(node[c][q])], ["u", "v"])
+        for group in _grouped(batches, [*GROUP, "own", "node", "root", "sig"]):
+            best, partner = np.zeros(len(group)), np.zeros(len(group), np.int64)
+            node = np.array([g[4] for g in group])
+            for i, j, est in _crossing(group):
+                for x, y in ((i, j), (j, i)):
+                    order = np.argsort(est)  # the last one put is the best
+                    x, y, e = x[order], y[order], est[order]
+                    better = e > best[x]
+                    best[x[better]], partner[x[better]] = e[better], node[y[better]]
+            on = np.flatnonzero(best)
+            yield pa.record_batch([*(pa.array([g] * len(on), t) for g, t in zip(group[0][:3], (pa.int64(), pa.int32(), pa.int32()))), pa.array(node[on]), pa.array(partner[on]), pa.array(best[on])], [*GROUP, "node", "partner", "est"])
 
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "low", "high", "own", "node", "root", "sig"))):
-                if held and held[0][:3] != row[:3]:
-                    yield from compared(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from compared(held)
+    dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
+    return dealt.mapInArrow(run, "bucket long, low int, high int, node long, partner long, est double")
+
+
+def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(u, v): links across components, from groups with full sets; two components of a group are linked once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, [*GROUP, "own", "node", "root", "sig", "shingles"]):
+            sets = [np.frombuffer(g[7], np.uint64) for g in group]
+            size, node = np.array([len(x) for x in sets]), [g[4] for g in group]
+            over: dict[int, int] = {g[5]: g[5] for g in group}
+
+            def top(x: int, over=over) -> int:
+                while over[x] != x:
+                    over[x] = over[over[x]]
+                    x = over[x]
+                return x
+
+            found = []
+            for i, j, _ in _crossing(group):
+                for a in np.unique(i):
+                    near = [b for b in j[i == a] if top(group[a][5]) != top(group[b][5])]
+                    if not near:
+                        continue
+                    cat, starts = np.concatenate([sets[b] for b in near]), np.concatenate(([0], np.cumsum(size[near])[:-1]))
+                    at = np.minimum(np.searchsorted(sets[a], cat), size[a] - 1)
+                    both = np.add.reduceat((sets[a][at] == cat).astype(np.int64), starts)
+                    for b, n in zip(near, both):
+                        if 100 * n >= percent * (size[a] + size[b] - n) and (x := top(group[a][5])) != (y := top(group[b][5])):
+                            over[x] = y
+                            found.append((node[a], node[b]))
+            yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["u", "v"])
 
-    return met.select("bucket", "low", "high", "own", "node", "root", "sig").mapInArrow(run, "u long, v long").distinct()
+    dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
+    return dealt.mapInArrow(run, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough: one set travels to the other for each pair."""
+def full_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of some nodes, written to the shared folder."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             for i, j in slices(offsets):
                 s, first = shingle_sets(Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower=True))
                 yield pa.record_batch([batch.column(UID).slice(i, j - i), pa.array([s[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["node", "shingles"])
 
+    needed = materialize(nodes.select(F.col("node").alias(UID)).distinct())
+    few = needed.count() <= MOST_BROADCAST_NODES
+    picked = rows.select(UID, "text").join(F.broadcast(needed) if few else needed, UID, "left_semi")
+    return materialize(picked.mapInArrow(run, "node long, shingles binary"), "none")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets are similar enough: one set travels to the other for each pair."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -250,27 +321,48 @@ def confirmed(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> Data
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.record_batch([batch.column("u").filter(pa.array(ok, pa.bool_())), batch.column("v").filter(pa.array(ok, pa.bool_()))], ["u", "v"])
+            mask = pa.array(ok, pa.bool_())
+            yield pa.record_batch([batch.column("u").filter(mask), batch.column("v").filter(mask)], ["u", "v"])
 
-    needed = pairs.select(F.col("u").alias(UID)).unionByName(pairs.select(F.col("v").alias(UID))).distinct()
-    found = materialize(rows.select(UID, "text").join(needed, UID, "left_semi").mapInArrow(sets, "node long, shingles binary"), "none")
-    out = pairs.join(found.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(found.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
+    out = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
     return out.select("u", "v", "su", "sv").mapInArrow(compare, "u long, v long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+
+
+def node_roots(nodes: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, root) of all nodes with links."""
+    sigs = nodes.select("node", "sig")
+    pairs = materialize(hub_pairs(members, sigs))
+    sets = full_sets(rows, _ends(pairs))
+    roots = materialize(components(confirmed(pairs, sets)))
+    drop_written(sets)
+    best = materialize(best_partners(met(members, roots, sigs)))
+    if best.isEmpty():
+        return roots
+    pairs = materialize(best.groupBy(F.col("node").alias("u")).agg(F.max_by("partner", F.struct("est", "partner")).alias("v")))
+    sets = full_sets(rows, best.select("node"))  # partners are nodes of the same group, so they are there too
+    as_links = lambda r: r.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    roots = materialize(components(as_links(roots).unionByName(confirmed(pairs, sets))))
+    left = best.select(*GROUP, "node")
+    groups_ = met(members, roots, sigs).join(left, [*GROUP, "node"], "left_semi").join(sets, "node")
+    links = materialize(links_in_place(groups_))
+    if not links.isEmpty():
+        roots = materialize(components(as_links(roots).unionByName(links)))
+    drop_written(sets)
+    return roots
+
+
 def near_groups(rows: DataFrame, slots: int) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, head) for rows of `keyed`: head is the row key of the group's first document."""
     tune(rows.sparkSession)
     all_ = materialize(signed(rows.select(UID, "doc_id", "text")))
     same = all_.filter("digest is not null").groupBy("digest").agg(F.min(UID).alias("node"))
     nodes = materialize(all_.join(same.select(F.col("node").alias(UID)), UID, "left_semi").select(F.col(UID).alias("node"), "sig", "bands"))
-    sigs = nodes.select("node", "sig")
     members = materialize(buckets(nodes, slots))
-    links = materialize(confirmed(materialize(hub_pairs(members, sigs)), rows))
-    roots = materialize(components(links))
-    more = materialize(crossing_pairs(members, roots, sigs))
-    if not more.isEmpty():
-        roots = materialize(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(confirmed(more, rows))))
+    roots = node_roots(nodes, members, rows)
     member = all_.select(UID, "doc_id", "n", "digest").join(same, "digest", "left").join(roots, "node", "left")
     member = member.select(UID, "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node", UID).alias("root"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", UID))
