@@ -86,18 +86,18 @@ class _Lines:
                 self.article.append(article)
             self.parts, self.linked = [], 0
 
-    def gap(self, article: int) -> None:
+    def gap(self, article: int, lines: int = WINDOW) -> None:
         self.end(article)
-        self.text += [""] * WINDOW
-        self.links += [0] * WINDOW
-        self.article += [article] * WINDOW
+        self.text += [""] * lines
+        self.links += [0] * lines
+        self.article += [article] * lines
 
 
 def lines_of(page: str) -> _Lines:
     """Strip a page's markup."""
     out, at = _Lines(), 0
     skipped, depth = "", 0  # the tag that is dropped with all it holds
-    articles, article, opened, links = 0, -1, 0, 0
+    articles, article, opened, links, inside = 0, -1, 0, 0, 0
     for m in _TOKEN.finditer(page):
         if not skipped and m.start() > at:
             out.parts.append(text := page[at : m.start()])
@@ -135,10 +135,13 @@ def lines_of(page: str) -> _Lines:
                 if opened == 0:
                     article = -1
         elif not closing and tag not in _VOID and _boilerplate(tag, m[4] or m[7] or "", article >= 0):
-            out.gap(article)
+            # within a container, what stands on both sides of a dropped part may be one text
+            out.gap(article, 1 if inside else WINDOW)
             skipped, depth = tag, 1
         elif tag in _BLOCKS:
             out.end(article)
+            if tag in ("div", "section"):
+                inside = max(0, inside + (-1 if closing else 1))
     if not skipped and at < len(page):
         out.parts.append(page[at:])
     out.gap(article)
