@@ -17,12 +17,18 @@ def slot_of(h: np.ndarray, slots: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
 
 
-def cut(h: np.ndarray, records: np.ndarray, slots: int) -> Iterator[tuple[int, bytes]]:
-    """(slot, packed records) of records that are in order of their hashes `h`."""
+def cut_arrays(h: np.ndarray, records: np.ndarray, slots: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, its records) of records that are in order of their hashes `h`."""
     of = slot_of(h, slots)
     edges = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
     for a, b in zip(edges, np.append(edges[1:], len(of))):
-        yield int(of[a]), records[a:b].tobytes()
+        yield int(of[a]), records[a:b]
+
+
+def cut(h: np.ndarray, records: np.ndarray, slots: int) -> Iterator[tuple[int, bytes]]:
+    """(slot, packed records) of records that are in order of their hashes `h`."""
+    for slot, part in cut_arrays(h, records, slots):
+        yield slot, part.tobytes()
 
 
 def groups(*keys: np.ndarray) -> np.ndarray:

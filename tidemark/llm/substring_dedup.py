@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import UID, Words, buffers, covered, kept_bytes, keyed, mix, reducers, slices, table, tune, window_hashes, windows
-from tidemark.llm.packed import cut, groups, repeated
+from tidemark.llm.packed import cut, cut_arrays, groups, repeated
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
@@ -35,8 +35,11 @@ ANCHOR = WINDOW - PERIOD + 1
 BLOCK_RECORDS, BLOCK_DOCS = 2_000_000, 60_000
 NO_ID = np.iinfo(np.int64).min
 ROWS = "slot int, base long, uid long, data binary"
-#: A record of the second shuffle.
-RECORD = np.dtype([("h", "<u8"), ("g", "<u8"), ("doc", "<i8"), ("uid", "<i8")])
+#: A record of the second shuffle: a window's hash, 32 more bits of it, and where it stands.
+RECORD = np.dtype([("h", "<u8"), ("g", "<u4"), ("doc", "<i8"), ("uid", "<i8")])
+#: Slots of the packed shuffles at least: a document's hits come back in one row per slot, so that few slots for
+#: small inputs and many for large ones would change the number of rows per document.
+LEAST_SLOTS = 64
 MANY = np.uint16(0xFFFF)
 
 
@@ -60,6 +63,23 @@ def _rows(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(slot, pa.int32()), pa.array(base, pa.int64()), pa.array(uid, pa.int64()), pa.array(data, pa.binary())], ["slot", "base", "uid", "data"])
 
 
+def pack_records(r: np.ndarray) -> bytes:
+    """Records as columns, high and low halves of the integers apart, so that compression finds what repeats."""
+    halves = [r[c].view("<u8") for c in ("doc", "uid")]
+    columns = [r["h"], r["g"], *[x.astype("<u4") for v in halves for x in (v & np.uint64(0xFFFFFFFF), v >> np.uint64(32))]]
+    return b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+
+
+def unpack_records(data: bytes) -> np.ndarray:
+    n = len(data) // 28
+    out = np.empty(n, RECORD)
+    out["h"], out["g"] = np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u4", n, 8 * n)
+    for k, c in enumerate(("doc", "uid")):
+        low, high = (np.frombuffer(data, "<u4", n, (12 + 8 * k + 4 * j) * n).astype(np.uint64) for j in (0, 1))
+        out[c] = (low | high << np.uint64(32)).view(np.int64)
+    return out
+
+
 def _by_row(uid: np.ndarray, h: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
     """Rows that are settled: hashes by row key, passed through the shuffle in any slot."""
     order = np.argsort(uid, kind="stable")
@@ -168,7 +188,7 @@ def _earlier_windows(rows: DataFrame, hits: DataFrame, slots: int) -> DataFrame:
             later = r["doc"] > least
             yield from _by_row(r["uid"][later], r["h"][later], slots)
             first = r[~later]
-            found = [(s, 0, None, data) for s, data in cut(first["h"], first, slots)]
+            found = [(s, 0, None, pack_records(part)) for s, part in cut_arrays(first["h"], first, slots)]
             for i in range(0, len(found), 256):
                 yield _rows(found[i : i + 256])
 
@@ -200,7 +220,7 @@ def _earlier_windows(rows: DataFrame, hits: DataFrame, slots: int) -> DataFrame:
                 yield pa.record_batch([settled.column("uid"), settled.column("data")], ["uid", "hits"])
             open_ = batch.filter(pc.is_null(batch.column("uid")))
             for s, data in zip(open_.column("slot").to_pylist(), open_.column("data").to_pylist()):
-                slot.setdefault(s, []).append(np.frombuffer(data, RECORD))
+                slot.setdefault(s, []).append(unpack_records(data))
         for parts in slot.values():
             r = np.concatenate(parts)
             r = r[np.lexsort((r["doc"], r["g"], r["h"]))]
@@ -225,7 +245,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(row, doc_id, n_words, n_removed, text): texts of kept words, joined by one space."""
     tune(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    slots = reducers(docs)
+    slots = max(LEAST_SLOTS, reducers(docs))
     earlier = _earlier_windows(rows, _shared_anchors(rows, slots), slots)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
