@@ -35,7 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tune(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get."""
+    """Bound the Arrow batches that Python workers get, and pin how files are split.
+
+    Row keys number rows by partition. Spark splits files by the cores that it has at the moment, unless a number of partitions
+    is set; with it, a lost executor doesn't change the splits, so a row keeps its key whenever its table is read.
+    """
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(max(64, spark.sparkContext.defaultParallelism)))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
