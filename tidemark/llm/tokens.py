@@ -3,7 +3,7 @@
 The library's pre-tokenizers never join text across certain places, so a text's ids are those of its pieces in a row.
 `word` vocabularies (white space dropped) break at ASCII white space. `byte` vocabularies break before a word's leading
 space and around runs of white space. Of unknown pieces, those that are one word (letters that normalization leaves
-alone, perhaps with a full stop or comma behind, which is a piece of its own) go to the library's model; all
+alone, perhaps with signs behind, which are a piece of their own) go to the library's model; all
 others go through the whole library.
 """
 
@@ -27,6 +27,8 @@ _ANY_WS = re.compile(f"[{_WS}]")
 CACHE_PIECES, CACHE_LENGTH = 900_000, 64
 #: Letters below this code are letters in every Unicode version that a library may follow.
 _OLD_LETTERS = "\u0530"
+#: What may stand behind a word as one piece of its own: ASCII signs, but for the apostrophe, which may join.
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 def path(name: str) -> str:
@@ -76,18 +78,19 @@ class Pieces:
     def learn(self, pieces: list[bytes], known: dict[bytes, bytes | None], spaced: bool) -> None:
         """Encode unknown pieces into `known`."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        if self.kind == "word":  # the library lower-cases; for ASCII that is known
-            texts = [t.lower() if t.isascii() else t for t in texts]
-        bases = [t[:-1] if t[-1:] in (".", ",") else t for t in texts]
+        if self.kind == "word":  # the library lower-cases letter by letter; for these letters that is known
+            texts = [t.lower() if t.isascii() or max(t) < _OLD_LETTERS and "\u03a3" not in t and len(t.lower()) == len(t) else t for t in texts]
+        bases = [t.rstrip(_SIGNS) for t in texts]
         ids: dict[str, bytes | None] = {b: self.word(b, spaced) if self.is_word(b) else None for b in set(bases)}
-        ends = dict(zip((".", ","), self.library([".", ","])))
+        tails = list({t[len(b) :] for t, b in zip(texts, bases) if ids[b] is not None and t != b})
+        ends = dict(zip(tails, self.library(tails)))
         rest = [t for t, b in zip(texts, bases) if ids[b] is None]
         whole = dict(zip(rest, self.library([" " * spaced + t for t in rest])))
         for p, t, b in zip(pieces, texts, bases):
             if self.kind == "byte" and (not t or _ANY_WS.search(t)):
                 known[p] = None
             else:
-                known[p] = whole[t] if t in whole else ids[b] if t == b else ids[b] + ends[t[-1]]
+                known[p] = whole[t] if t in whole else ids[b] if t == b else ids[b] + ends[t[len(b) :]]
 
     def _fast(self, text: bytes) -> bytes:
         """A text's ids from known pieces; KeyError for an unknown one, TypeError for what the slow path must read."""
