@@ -193,7 +193,7 @@ class LineIndex:
             if shard >= 0:
                 yield done()
 
-        dealt = self.refs.repartition(self.shards, "shard").sortWithinPartitions("shard", F.col("docs") < least)
+        dealt = self.refs.repartitionById(self.shards, "shard").sortWithinPartitions("shard", F.col("docs") < least)
         return dealt.mapInArrow(run, "shard int, cells binary, exceptions binary")
 
     def members(self) -> DataFrame:

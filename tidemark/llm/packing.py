@@ -120,7 +120,7 @@ def pack(docs: DataFrame, vocabulary: str, kind: str, length: int = LENGTH, end_
                 types = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 3
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], [f.split()[0] for f in PIECES.split(", ")])
 
-    dealt = all_ids.repartition(buckets, "bucket").sortWithinPartitions("bucket", "key", "doc_id", UID)
+    dealt = all_ids.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "key", "doc_id", UID)
     return dealt.mapInArrow(run, PIECES)
 
 
