@@ -270,6 +270,13 @@ def test_pieces_equal_whole_texts(name, kind):
     assert pieces.encode([t.encode() for t in texts]) == wanted == pieces.encode([t.encode() for t in texts])
 
 
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_special_strings_keep_their_case(name, kind):
+    pieces = tokens.Pieces(tokens.path(name), kind)
+    texts = ["<|ENDOFTEXT|>", "a<|EndOfText|>b", "X<|endoftext|>Y", "<|endoftext|><|ENDOFTEXT|>.", "<|StartOfText|> A", "É<|ENDOFTEXT|>", "<|OTHER|>", "A<|", "\u0130<|ENDOFTEXT|>", "<|ENDOFTEX\u0442|>"]
+    assert pieces.encode([t.encode() for t in texts]) == pieces.library(texts)
+
+
 def test_pieces_are_forgotten(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
     pieces = tokens.Pieces(tokens.path("byte_bpe_50k.json"), "byte")

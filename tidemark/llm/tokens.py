@@ -47,6 +47,7 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(file)
         self.kind = kind
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special_lower = [s.decode().lower() for s in self.special]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.model = self.tokenizer.model
@@ -79,7 +80,11 @@ class Pieces:
         """Encode unknown pieces into `known`."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
         if self.kind == "word":  # the library lower-cases letter by letter; for these letters that is known
-            texts = [t.lower() if t.isascii() or max(t) < _OLD_LETTERS and "\u03a3" not in t and len(t.lower()) == len(t) else t for t in texts]
+            low = [t.lower() if t.isascii() or max(t) < _OLD_LETTERS and "\u03a3" not in t and len(t.lower()) == len(t) else t for t in texts]
+            every = "\n".join(low)
+            if any(s in every for s in self.special_lower):  # the library finds special strings in their exact case, before it lower-cases
+                low = [t if any(s in x for s in self.special_lower) else x for t, x in zip(texts, low)]
+            texts = low
         bases = [t.rstrip(_SIGNS) for t in texts]
         ids: dict[str, bytes | None] = {b: self.word(b, spaced) if self.is_word(b) else None for b in set(bases)}
         tails = list({t[len(b) :] for t, b in zip(texts, bases) if ids[b] is not None and t != b})
