@@ -386,6 +386,19 @@ def test_html():
     assert html_text.main_text("<p>" + "a " * 100_000 + "</p>") == ("a " * 100_000).strip()
 
 
+def test_html_keeps_short_regions_and_wrappers():
+    long = "word " * 400 + "end"
+    page = f"<body><h1>Title</h1><p>Short lead.</p><aside>x</aside><p>{long}</p><nav>y</nav><p>Last.</p><nav>z</nav><p><a href='/'>Home page</a></p></body>"
+    assert html_text.main_text(page) == f"Title\nShort lead.\n{long}\nLast."
+    for name in ("page no-sidebar", "site has-header", "no-comments"):
+        page = f"<body><div class='{name}'><h1>Title</h1><div class='sidebar'>Other</div><p>{long}</p></div></body>"
+        assert html_text.main_text(page) == f"Title\n{long}"
+        assert html_text.main_text(f"<article>{page}</article>") == f"Title\n{long}"
+    assert html_text.main_text(f"<div><p>Post.</p></div><div id='comments'><p>{long}</p></div>") == "Post."
+    assert html_text.main_text(f"<h1>Site</h1><div class='page no-comments'><p>{long}</p></div>") == f"Site\n{long}"
+    assert html_text.main_text("<div class='page no-sidebar'>" * 5000 + "deep") == "deep"
+
+
 def test_regions():
     assert html_text.regions([0, 5, 0, 0, 3, 0, 0, 0, 4], 3) == [(1, 5), (8, 9)]
     assert html_text.regions([], 3) == [] and html_text.regions([0, 0], 3) == []

@@ -4,7 +4,10 @@ Markup is stripped into lines, one per block element. Parts that are no article
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) become runs of empty
 lines. Text lengths are summed over windows of `WINDOW` lines: where the sum leaves zero is a surge, where it falls back
 to zero a dive, and the text between the two is a region. On a page with article elements the regions of
-the longest one are the text; else those regions are kept that are long enough beside the longest and not mostly links.
+the longest one are the text; else all regions are, short ones too, but for those that are mostly links (menus).
+
+A name may stand for a layout (`page no-sidebar`): a part that holds most of the page's text isn't dropped for its name. Reader comments
+may be longer than what they are about; they are dropped unless there is nothing else.
 
 Character references are decoded, white space within a block becomes one space, blocks are joined by a line feed.
 
@@ -27,8 +30,8 @@ from tidemark.llm.common import UID, table, tune
 
 #: Lines of a window; a dive needs as many empty lines.
 WINDOW = 3
-#: Without article elements: regions of at least this share of the longest one stay, if links are at most this share of them.
-LEAST_SHARE, MOST_LINKS = 0.2, 0.5
+#: Without article elements: regions stay if links are at most this share of them.
+MOST_LINKS = 0.5
 
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -43,6 +46,7 @@ _NAMES = re.compile(
     r"social|sponsor|sponsored|subscribe|subscription|toolbar|topbar|widget)(?:$|[\s_-])",
     re.I,
 )
+_COMMENTS = re.compile(r"(?:^|(?<!\bno)(?<!\bhas)(?<!\bwith)(?<!\bwithout)[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
 _RAW = "script|style|noscript|template|iframe|svg|math|textarea|title|canvas|video|audio|xmp|noembed|noframes"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -52,7 +56,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _boilerplate(tag: str, attributes: str, share: float) -> bool:
+    """Is an element dropped, which holds a share of the page's text?"""
     if tag in _DROPPED:
         return True
     if tag in ("article", "main", "body", "html") or not attributes:
@@ -62,11 +67,44 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
         name = name.lower()
         if name == "role" and value.lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name in ("class", "id") and _NAMES.search(value):
+        if name in ("class", "id") and _NAMES.search(value) and (share <= 0.5 or share < 1 and _COMMENTS.search(value)):
             return True
     return False
 
 
+def _ends(tags: list[tuple[str, bool]]) -> list[int]:
+    """For each start tag (name, closing), the tag that ends it if it is dropped: its own end, or an article (an unclosed menu doesn't hold it)."""
+    n = len(tags)
+    out, starts = [n] * n, {}
+    for k, (tag, closing) in enumerate(tags):
+        if not closing:
+            starts.setdefault(tag, []).append(k)
+        elif starts.get(tag):
+            out[starts[tag].pop()] = k
+    end = n
+    for k in range(n - 1, -1, -1):
+        out[k] = min(out[k], end)
+        tag, closing = tags[k]
+        if tag in ("article", "main") or closing and tag in ("body", "html"):
+            end = k
+    return out
+
+
+def _sizes(page: str, marks: list[re.Match], tags: list[tuple[str, bool]], ends: list[int]) -> list[int]:
+    """Letters of the page before each tag and in all, without parts that are dropped by their tag."""
+    out, total, at, until = [], 0, 0, -1
+    for k, m in enumerate(marks):
+        if k > until:
+            total += len("".join(page[at : m.start()].split()))
+        out.append(total)
+        at = m.end()
+        if k >= until and tags[k][0] in _DROPPED and not tags[k][1]:
+            until = ends[k]
+    if until < len(marks):
+        total += len("".join(page[at:].split()))
+    return [*out, total]
+
+
 @dataclass
 class _Lines:
     """Lines of a page: text, letters in links, and the article that a line lies in (-1: none)."""
@@ -96,30 +134,20 @@ class _Lines:
 def lines_of(page: str) -> _Lines:
     """Strip a page's markup."""
     out, at = _Lines(), 0
-    skipped, depth = "", 0  # the tag that is dropped with all it holds
+    marks = list(_TOKEN.finditer(page))
+    tags = [((m[3] or m[6] or "").lower(), bool(m[2] or m[5])) for m in marks]
+    ends = _ends(tags)
+    sizes = _sizes(page, marks, tags, ends)
+    skipped, until = "", -1  # the tag that is dropped with all it holds, and where it ends
     articles, article, opened, links, inside = 0, -1, 0, 0, 0
-    for m in _TOKEN.finditer(page):
-        if not skipped and m.start() > at:
+    for k, (m, (tag, closing)) in enumerate(zip(marks, tags)):
+        if k > until and m.start() > at:
             out.parts.append(text := page[at : m.start()])
             if links:
                 out.linked += len(text)
         at = m.end()
-        tag = (m[3] or m[6] or "").lower()
-        if not tag:
+        if not tag or k < until or k == until and closing and tag == skipped:
             continue
-        closing = bool(m[2] or m[5])
-        if skipped:
-            if tag in ("article", "main") and not closing and skipped not in ("article", "main"):
-                skipped = ""  # an unclosed menu doesn't hold the article
-            elif tag == skipped:
-                depth += -1 if closing else 1
-                if depth == 0:
-                    skipped = ""
-                continue
-            elif not (closing and tag in ("body", "html", "article", "main")):
-                continue
-            else:
-                skipped = ""
         if tag == "br":
             out.parts.append(" ")
         elif tag == "a":
@@ -134,15 +162,15 @@ def lines_of(page: str) -> _Lines:
                 opened -= 1
                 if opened == 0:
                     article = -1
-        elif not closing and tag not in _VOID and _boilerplate(tag, m[4] or m[7] or "", article >= 0):
+        elif not closing and tag not in _VOID and _boilerplate(tag, m[4] or m[7] or "", (sizes[ends[k]] - sizes[k]) / (sizes[-1] or 1)):
             # within a container, what stands on both sides of a dropped part may be one text
             out.gap(article, 1 if inside else WINDOW)
-            skipped, depth = tag, 1
+            skipped, until = tag, ends[k]
         elif tag in _BLOCKS:
             out.end(article)
             if tag in ("div", "section"):
                 inside = max(0, inside + (-1 if closing else 1))
-    if not skipped and at < len(page):
+    if until < len(marks) and at < len(page):
         out.parts.append(page[at:])
     out.gap(article)
     return out
@@ -180,8 +208,7 @@ def main_text(page: str | None) -> str:
         kept = [(a, b) for a, b, _ in found if lines.article[a] == best]
     else:
         texts = [(a, b, n) for a, b, n in found if sum(lines.links[a:b]) <= MOST_LINKS * n] or found
-        most = max(n for *_, n in texts)
-        kept = [(a, b) for a, b, n in texts if n >= LEAST_SHARE * most]
+        kept = [(a, b) for a, b, _ in texts]
     return "\n".join(x for a, b in kept for x in lines.text[a:b] if x)
 
 
