@@ -399,6 +399,30 @@ def test_html_keeps_short_regions_and_wrappers():
     assert html_text.main_text("<div class='page no-sidebar'>" * 5000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize(
+    ("page", "wanted"),
+    [
+        ("<p class='ad'>Buy<p>One.</p><p>Two.</p>", "One.\nTwo."),
+        ("<p class='ad'>Buy<b>now</b><h2>One.</h2>Two.", "One.\nTwo."),
+        ("<div><p class='ad'>Buy</div>One.", "One."),
+        ("<p class='ad'>Buy</p>One.", "One."),
+        ("<ul><li class='ad'>Buy<ul><li>x<li>y</ul>z<li>One.<li class='ad'>Buy</ul><p>Two.", "One.\nTwo."),
+        ("<ul><li class='ad'><p>Buy<div>x</div>y</li><li>One.</ul>", "One."),
+        ("<dl><dt class='ad'>Buy<dd>One.<dt>Two.<dd role='menu'>x</dl>Three.", "One.\nTwo.\nThree."),
+        ("<table><tr class='ad'><td>Buy<td>x<tr><td>One.<td class='ad'>Buy<table><tr><td>x<tr><td>y</table>z<td>Two.<tr><th class='ad'>x</table>Three.", "One.\nTwo.\nThree."),
+        ("<table><tbody><tr class='ad'><td>Buy<tbody><tr><td>One.</table>", "One."),
+        ("<table><tr><td class='ad'>Buy</tr>One.</table>", "One."),
+        ("<div><li class='ad'>Buy</div></div></ul>One.", "One."),
+        ("<datalist><option class='ad'>Buy<option>One.</datalist>", "One."),
+        ("<div class='ad'><div>Buy</div>x</div>One.", "One."),
+    ],
+)
+def test_html_end_tags_may_be_left_out(page, wanted):
+    rest = "<p>" + "word " * 50 + "</p>"
+    for whole in (f"<article>{page}{rest}</article>", f"<body>{page}{rest}</body>"):
+        assert html_text.main_text(whole) == wanted + "\n" + ("word " * 50).strip()
+
+
 def test_regions():
     assert html_text.regions([0, 5, 0, 0, 3, 0, 0, 0, 4], 3) == [(1, 5), (8, 9)]
     assert html_text.regions([], 3) == [] and html_text.regions([0, 0], 3) == []

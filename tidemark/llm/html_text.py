@@ -9,6 +9,8 @@ the longest one are the text; else all regions are, short ones too, but for thos
 A name may stand for a layout (`page no-sidebar`): a part that holds most of the page's text isn't dropped for its name. Reader comments
 may be longer than what they are about; they are dropped unless there is nothing else.
 
+A dropped element ends where HTML ends it, also if its end tag is left out (p, li, dt, dd, tr, td, th, option).
+
 Character references are decoded, white space within a block becomes one space, blocks are joined by a line feed.
 
 Defined results: null, empty and textless pages give an empty text; markup cut off anywhere is read as far as it goes; rows with
@@ -19,7 +21,8 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -38,6 +41,10 @@ _BLOCKS = frozenset(
     "header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose end tag may be left out: the open ones that a start tag ends, itself included. Any block's tag ends a p.
+_ENDED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option",), "td": ("td", "th"), "th": ("td", "th")} | dict.fromkeys(("tr", "thead", "tbody", "tfoot"), ("td", "th", "tr"))
+_OPTIONAL = frozenset("p li dt dd tr td th option".split())
+_SECTIONS = ("thead", "tbody", "tfoot")
 _DROPPED = frozenset("nav header footer aside form menu dialog head button select label fieldset object".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _NAMES = re.compile(
@@ -81,6 +88,7 @@ def _ends(tags: list[tuple[str, bool]]) -> list[int]:
             starts.setdefault(tag, []).append(k)
         elif starts.get(tag):
             out[starts[tag].pop()] = k
+    _omitted(tags, out)
     end = n
     for k in range(n - 1, -1, -1):
         out[k] = min(out[k], end)
@@ -90,6 +98,43 @@ def _ends(tags: list[tuple[str, bool]]) -> list[int]:
     return out
 
 
+def _omitted(tags: list[tuple[str, bool]], out: list[int]) -> None:
+    """Lower the ends in `out` of elements without an end tag: to the next start tag of their kind, or to their parent's end tag."""
+    # open containers from the outermost: name, and the open elements right inside; names are counted, so that no stray end tag searches all
+    stack: list[tuple[str, dict[str, int]]] = [("", {})]
+    count: Counter[str] = Counter()
+
+    def end(names: Iterable[str], k: int) -> None:
+        for name in names:
+            if (start := stack[-1][1].pop(name, None)) is not None:
+                out[start] = min(out[start], k)
+
+    def leave(k: int) -> str:
+        end(list(stack[-1][1]), k)
+        name = stack.pop()[0]
+        count[name] -= 1
+        return name
+
+    for k, (tag, closing) in enumerate(tags):
+        if tag not in _BLOCKS and tag not in ("optgroup", "button", "object"):
+            continue
+        end(("p",), k)
+        if tag in _OPTIONAL:
+            end(_ENDED.get(tag, ()), k)  # an end tag is that of a cell's row, too
+            if not closing:
+                stack[-1][1][tag] = k
+        elif closing:
+            if count[tag]:
+                while leave(k) != tag:
+                    pass
+        elif tag not in _VOID:
+            if tag in _SECTIONS and stack[-1][0] in _SECTIONS:
+                leave(k)
+            end(_ENDED.get(tag, ()), k)
+            stack.append((tag, {}))
+            count[tag] += 1
+
+
 def _sizes(page: str, marks: list[re.Match], tags: list[tuple[str, bool]], ends: list[int]) -> list[int]:
     """Letters of the page before each tag and in all, without parts that are dropped by their tag."""
     out, total, at, until = [], 0, 0, -1
