@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -468,6 +469,22 @@ def test_decontamination(spark, tmp_path, block, empty):
     assert decontamination.decontaminate(empty, bench).count() == 0
 
 
+def test_decontamination_by_items_without_id(spark, tmp_path):
+    texts = ["one two three", "so four FIVE", "one two four five", "none of it", "six"]
+    items = [(None, "one two"), (None, "four five"), (3, "four five"), (None, None), (12, "six"), (None, "")]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    found = sorted(tuple(r) for r in decontamination.op8_decontamination(spark, str(tmp_path)).collect())
+    assert found == sorted(con.execute(decontamination.ORACLE).fetchall()) and [r[2] for r in found] == [2, 2, 4, 0, 1]
+    docs, bench = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = decontamination.search(decontamination.keyed(docs, "doc_id", "text"), bench, block_words=1).orderBy("doc_id").collect()
+    assert [r["items"] for r in rows] == [[None], [3, None], [3, None], [], [12]]
+    assert [r.doc_id for r in decontamination.decontaminate(docs, bench).collect()] == [3]
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 3, 200).astype(np.uint64)

@@ -11,7 +11,8 @@ taken in blocks of `BLOCK_WORDS` words, so what is sent to tasks has a fixed bou
 block adds its matches to those of the blocks before, in the same pass over the texts.
 
 Defined results: null and empty texts have no words and no hits; items without words match nothing; repeated items
-count each; rows with the same or no id are judged each by itself; an empty table gives an empty table.
+count each; items without an id hit as others do, and stand in a document's items as one null, which counts as an item
+and has no name; rows with the same or no id are judged each by itself; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def bisect(h: np.ndarray, order: np.ndarray, queries: np.ndarray, sizes: np.ndar
 class Benchmark:
     """Windows of a block of items, each distinct window once, and every suffix of the items."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple[int | None, str]], window: int):
         self.window = window
         self.ids = [i for i, _ in items]
         found: dict[bytes, list[int]] = {}
@@ -153,7 +154,7 @@ class Shard:
 STATE = [("n_words", "long"), ("n_hit", "long"), ("hits", "binary"), ("items", "array<long>")]
 
 
-def _searched(rows: DataFrame, items: list[tuple[int, str]], window: int) -> DataFrame:
+def _searched(rows: DataFrame, items: list[tuple[int | None, str]], window: int) -> DataFrame:
     """Rows with a block's hits (a bit per word) and items added to those of the blocks before."""
     sent = rows.sparkSession.sparkContext.broadcast(items)
     schema = with_fields(rows.schema, *STATE)
@@ -166,7 +167,7 @@ def _searched(rows: DataFrame, items: list[tuple[int, str]], window: int) -> Dat
             for i, j in slices(offsets, SHARD_BYTES):
                 batch = whole.slice(i, j - i)
                 shard = Shard(*buffers(batch.column("text")), window)
-                found: list[set[int]] = [set(x or ()) for x in batch.column("items").to_pylist()]
+                found: list[set[int | None]] = [set(x or ()) for x in batch.column("items").to_pylist()]
                 edge = np.zeros(shard.size + window + 1, np.int64)
                 if len(b.sizes):
                     which, at = shard.occurrences(b)
@@ -185,18 +186,18 @@ def _searched(rows: DataFrame, items: list[tuple[int, str]], window: int) -> Dat
                     hits.append(np.packbits(bits).tobytes() if n_hit[-1] else b"")
                 columns = [batch.column(c) for c in passed]
                 yield pa.record_batch(
-                    [*columns, pa.array(shard.counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in found], pa.list_(pa.int64()))],
+                    [*columns, pa.array(shard.counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x, key=lambda i: (i is None, i)) for x in found], pa.list_(pa.int64()))],
                     [*passed, *dict(STATE)],
                 )
 
     return rows.mapInArrow(run, schema)
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, most: int = BLOCK_WORDS) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of bounded size, read one partition at a time."""
-    held: list[tuple[int, str]] = []
+    held: list[tuple[int | None, str]] = []
     size = 0
-    for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("item_id is not null and text is not null").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null").toLocalIterator():
         n = 1 + len(r[1]) // 2
         if held and size + n > most:
             yield held
