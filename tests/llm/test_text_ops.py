@@ -501,6 +501,15 @@ def test_longest_matches(spark, tmp_path):
     assert (9, 1, 2, 2, 20) in [tuple(r) for r in found]
 
 
+def test_longest_matches_are_not_cut(spark, tmp_path):
+    passage = [f"p{i}" for i in range(300)]
+    texts = [" ".join(passage[:n] + [f"x{n}"]) for n in (70, 100, 90)] + [" ".join(["one"] + passage[:250] + ["two"])] + [" ".join(passage[:n] + [f"z{n}"]) for n in (80, 64)]
+    df = frame(spark, tmp_path, texts, list(range(6))).coalesce(1)
+    found = decontamination.longest_matches(df, spark.createDataFrame([(9, " ".join(passage))], "item_id long, text string")).collect()
+    assert {tuple(r) for r in found if r.item_word == 0} == {(9, 0, 3, 1, 250)}
+    assert (9, 40, 3, 41, 210) in [tuple(r) for r in found]
+
+
 # --- 9 ---
 
 

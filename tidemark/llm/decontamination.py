@@ -2,9 +2,9 @@
 
 A shard is a run of documents of about `SHARD_BYTES`. Its words are 64-bit hashes, with a separator after every
 document; the suffix array orders all positions by the words that follow. Sorting takes the first word,
-and doubles the depth only inside groups that are still equal. The suffixes of all benchmark items are
-searched by bisection, all at once: their neighbours give the longest verbatim match, and the
-positions between two bisections are the occurrences of a window.
+and doubles the depth only inside groups that are still equal. The distinct windows of all benchmark items are
+searched by bisection, all at once: the positions between two bisections are the occurrences of a window.
+`longest_matches` searches every suffix of the items: its neighbours give the longest verbatim match.
 
 A window is `window` consecutive words of an item; an item with fewer words is one window. The benchmark is
 taken in blocks of `BLOCK_WORDS` words, so what is sent to tasks has a fixed bound whatever the benchmark's size; each
@@ -226,8 +226,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, o
     return restored(found.filter(~contaminated(one_in)), docs, text_col)
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW, depth: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(item_id, item_word, doc_id, doc_word, length): for each benchmark suffix and shard, where its longest verbatim match of `least` to `depth` words starts."""
+def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(item_id, item_word, doc_id, doc_word, length): for each benchmark suffix and shard, where its longest verbatim match of `least` words or more starts.
+
+    Shards are sorted to the depth of the block's longest item, so that neighbours in order are the longest matches. No registered query calls this."""
     rows = keyed(docs, id_col, text_col)
     tune(rows.sparkSession)
     names = ["item_id", "item_word", "doc_id", "doc_word", "length"]
@@ -237,6 +239,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW,
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             b = Benchmark(sent.value, least)
+            depth = max((len(x) for *_, x in b.suffixes), default=1)
             for whole in batches:
                 _, offsets = buffers(whole.column("text"))
                 for i, j in slices(offsets, SHARD_BYTES):
