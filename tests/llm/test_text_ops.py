@@ -1,6 +1,7 @@
 """Operators on texts against brute force, over small tables with all the odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -254,6 +255,14 @@ def test_estimates():
     assert near_dedup.estimates(s[0], s[0]) == 1 and abs(near_dedup.estimates(s[0], s[1]) - 0.5) < 0.08
 
 
+def test_estimate_loses_less_than_bands():
+    n, chance = near_dedup.PERMUTATIONS, 2.0**-near_dedup.BITS
+    p = 0.75 + 0.25 * chance
+    passed = [k for k in range(n + 1) if (k / n - chance) / (1 - chance) >= near_dedup.LEAST_ESTIMATE]
+    lost = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(passed[0]))
+    assert lost < (1 - 0.75**near_dedup.ROWS) ** near_dedup.BANDS
+
+
 # --- 5, 6, 10 ---
 
 HARD = ["", " ", "\n", "a", " a", "a ", "a  b", "a\n\nb", "a\n b", "a \nb", "x  y", "x \n y", " z", "it's DON'T", "<|endoftext|> a\n <|endoftext|>b", "a<|startoftext|>b", "é.", "İ,", "İx", "ΣΣ", "12.5%", "中文", "a.b,c", "\U0001f642.", "\x1ca\x85b", "Å", "w" * 300, ",", ".", "...", "a,."]
