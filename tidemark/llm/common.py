@@ -46,15 +46,32 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared folder; one is chosen only where none is configured.
+def application_dir(spark: SparkSession) -> str:
+    """This application's folder below the cluster's shared folder, as `spark.checkpoint.dir` names it.
 
-    The setting is read from the session; `/tmp/checkpoints` is used where it is unset (local tests).
+    Only a local session, whose driver and executors are one process, may leave it unset; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: operators need a folder that the driver and all executors share")
         base = "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder of this application in the shared folder."""
+    return f"{application_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Delete all tables that this application's operators wrote between their steps; results that aren't read yet go with them."""
+    _delete(spark, application_dir(spark))
 
 
 def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
@@ -68,11 +85,9 @@ def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a table that `materialize` wrote, once nothing reads it any more."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        if "/tidemark-" in f:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        if "/tidemark-" in folder:
+            _delete(spark, folder)
 
 
 def plan_bytes(df: DataFrame) -> int:
