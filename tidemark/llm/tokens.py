@@ -27,6 +27,8 @@ _ANY_WS = re.compile(f"[{_WS}]")
 CACHE_PIECES, CACHE_LENGTH = 900_000, 64
 #: Letters below this code are letters in every Unicode version that a library may follow.
 _OLD_LETTERS = "\u0530"
+#: Below this code nothing combines with what stands before it, so lower-casing and normalization don't depend on their order.
+_FIRST_MARK = "\u0300"
 #: What may stand behind a word as one piece of its own: ASCII signs, but for the apostrophe, which may join.
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
@@ -79,8 +81,8 @@ class Pieces:
     def learn(self, pieces: list[bytes], known: dict[bytes, bytes | None], spaced: bool) -> None:
         """Encode unknown pieces into `known`."""
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        if self.kind == "word":  # the library lower-cases letter by letter; for these letters that is known
-            low = [t.lower() if t.isascii() or max(t) < _OLD_LETTERS and "\u03a3" not in t and len(t.lower()) == len(t) else t for t in texts]
+        if self.kind == "word":  # the library lower-cases letter by letter, after normalization; all other texts go to it as they are
+            low = [t.lower() if t.isascii() or max(t) < _FIRST_MARK and len(t.lower()) == len(t) else t for t in texts]
             every = "\n".join(low)
             if any(s in every for s in self.special_lower):  # the library finds special strings in their exact case, before it lower-cases
                 low = [t if any(s in x for s in self.special_lower) else x for t, x in zip(texts, low)]
