@@ -287,6 +287,26 @@ def test_special_strings_keep_their_case(name, kind):
     assert pieces.encode([t.encode() for t in texts]) == pieces.library(texts)
 
 
+def odd_texts(seed, n):
+    """Random texts of letters, marks, signs, white space and special strings in any case."""
+    rng = random.Random(seed)
+    chars = lambda a, b: [chr(c) for c in range(a, b)]
+    special = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|endoftext", "|>", "<|", "'s", "'S", "'re", "'LL", "don't"]
+    odd = list("\u0345\u038f\u03a3\u03c3\u03c2\u0130\u0131\u1e9e\u00df\u212a\u212b\u1fbc\ufb01\U0001f600\u200d\u3000\x85\u0e33\u0660\u00b2\u2160\ua64a\U00010400\ufeff\u4e2d\uac00")
+    pools = [chars(1, 127), chars(1, 127), list("abcdeABCDE"), chars(0xA1, 0x250), chars(0x370, 0x530), chars(0x300, 0x350), odd, special, [" ", "  ", "\n", "\t", "\r\n"], list("0123456789"), list("!?.,;:-_'\"()[]")]
+    for _ in range(n):
+        yield "".join(rng.choice(pool) for pool in rng.choices(pools, k=rng.randint(1, 10)) for _ in range(rng.randint(1, 4)))
+
+
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_odd_pieces_equal_the_library(name, kind):
+    pieces = tokens.Pieces(tokens.path(name), kind)
+    texts = ["\u038f\u0345", "A\u0345", "\u039f\u0313x", "<|EndOfText|>", "see <|ENDOFTEXT|> here", "x<|StartOfText|>", *odd_texts(7, 100_000)]
+    for i in range(0, len(texts), 1000):
+        part = texts[i : i + 1000]
+        assert pieces.encode([t.encode() for t in part]) == pieces.library(part)
+
+
 def test_pieces_are_forgotten(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
     pieces = tokens.Pieces(tokens.path("byte_bpe_50k.json"), "byte")
@@ -470,7 +490,7 @@ def test_decontamination(spark, tmp_path, block, empty):
                 if tuple(w[k : k + len(x)]) == x:
                     hit |= set(range(k, k + len(x)))
                     names |= owners
-        assert (found[d].n_words, found[d].n_hit, found[d].items) == (len(w), len(hit), sorted(names))
+        assert (found[d].n_words, found[d].n_hit, found[d].items) == (len(w), len(hit), sorted(map(str, names)))
         hits += bool(hit)
     assert hits >= 5
     kept = decontamination.decontaminate(df, bench)
@@ -490,33 +510,68 @@ def test_decontamination_by_items_without_id(spark, tmp_path):
     assert found == sorted(con.execute(decontamination.ORACLE).fetchall()) and [r[2] for r in found] == [2, 2, 4, 0, 1]
     docs, bench = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark"))
     rows = decontamination.search(decontamination.keyed(docs, "doc_id", "text"), bench, block_words=1).orderBy("doc_id").collect()
-    assert [r["items"] for r in rows] == [[None], [3, None], [3, None], [], [12]]
+    assert [r["items"] for r in rows] == [[None], ["3", None], ["3", None], [], ["12"]]
     assert [r.doc_id for r in decontamination.decontaminate(docs, bench).collect()] == [3]
 
 
-def test_suffix_array():
-    rng = np.random.default_rng(1)
-    h = rng.integers(0, 3, 200).astype(np.uint64)
-    order = decontamination.suffix_array(h, 16)
-    # what follows a separator (0) is never compared with anything
-    keys = [tuple(x[: x.index(0) + 1] if 0 in x else x) for x in (h[i : i + 16].tolist() for i in order if h[i])]
-    assert keys == sorted(keys) and sorted(order.tolist()) == list(range(200))
-
-
-def test_longest_matches(spark, tmp_path):
-    passage = " ".join(f"p{i}" for i in range(20))
-    df = frame(spark, tmp_path, ["x y", "one two " + passage + " three"], [1, 2])
-    found = decontamination.longest_matches(df, spark.createDataFrame([(9, "zero " + passage)], "item_id long, text string")).collect()
-    assert (9, 1, 2, 2, 20) in [tuple(r) for r in found]
-
-
-def test_longest_matches_are_not_cut(spark, tmp_path):
+def shard(texts):
+    return decontamination.Shard.of(*buffers(pa.array(texts, pa.string())))
+
+
+@pytest.mark.parametrize("texts", [["b a b a", "", "a b", "b a b a", "a " * 40], [""], ["a"], []])
+def test_suffix_array(texts):
+    s = shard(texts)
+    rank = {int(h): i + 1 for i, h in enumerate(np.unique(s.h[: s.size][s.h[: s.size] > 0]))}
+    words = [rank.get(int(h), 0) for h in s.h[: s.size]]
+    keys = [tuple(words[i : words.index(0, i)]) for i in s.order.tolist()]
+    assert keys == sorted(keys) and sorted(s.order.tolist()) == list(range(s.size))
+
+
+@pytest.mark.parametrize("searched", [7, 100_000])
+def test_longest_matches_of_a_shard(monkeypatch, searched):
+    monkeypatch.setattr(decontamination, "SEARCHED", searched)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(20)] + [" ".join("abcab" * 40)] * 2
+    items = [" ".join(rng.choice("abcz") for _ in range(rng.randint(1, 40))) for _ in range(12)] + ["q", texts[-1] + " a", "c"]
+    s = shard(texts)
+    hashes = [decontamination.word_hashes(Words(*buffers(pa.array([x])), decontamination.DELIMITER, lower=True)).tobytes() for x in items]
+    b = decontamination.Benchmark([(str(i), h) for i, h in enumerate(hashes)], 5)
+    length, at = s.longest(b, np.arange(len(b.start)))
+    words, docs = [x.split() for x in items], [x.split() for x in texts]
+    for k, (i, w) in enumerate(zip(b.item, b.word)):
+        suffix, best = words[i][w:], 0
+        for d in docs:
+            for p in range(len(d)):
+                n = 0
+                while n < len(suffix) and p + n < len(d) and suffix[n] == d[p + n]:
+                    n += 1
+                best = max(best, n)
+        assert length[k] == best
+        if best:
+            d = int(s.doc(at[k : k + 1])[0])
+            assert docs[d][at[k] - s.first[d] :][:best] == suffix[:best]
+    hit, found, _ = s.search(b)
+    for d, doc in enumerate(docs):
+        wanted, names = set(), set()
+        for i, item in enumerate(words):
+            size = min(5, len(item))
+            for w in range(len(item) - size + 1):
+                for p in range(len(doc) - size + 1):
+                    if doc[p : p + size] == item[w : w + size]:
+                        wanted |= set(range(p, p + size))
+                        names.add(str(i))
+        assert set(np.flatnonzero(hit[s.first[d] : s.first[d] + s.counts[d]]).tolist()) == wanted and found.get(d, set()) == names
+
+
+@pytest.mark.parametrize("block", [100_000, 30])
+def test_longest_matches(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(decontamination.search, "__defaults__", (decontamination.WINDOW, block))
     passage = [f"p{i}" for i in range(300)]
     texts = [" ".join(passage[:n] + [f"x{n}"]) for n in (70, 100, 90)] + [" ".join(["one"] + passage[:250] + ["two"])] + [" ".join(passage[:n] + [f"z{n}"]) for n in (80, 64)]
     df = frame(spark, tmp_path, texts, list(range(6))).coalesce(1)
-    found = decontamination.longest_matches(df, spark.createDataFrame([(9, " ".join(passage))], "item_id long, text string")).collect()
-    assert {tuple(r) for r in found if r.item_word == 0} == {(9, 0, 3, 1, 250)}
-    assert (9, 40, 3, 41, 210) in [tuple(r) for r in found]
+    bench = spark.createDataFrame([("nine", " ".join(passage)), ("ten", "zero " + " ".join(passage[200:])), (None, "p1")], "item_id string, text string")
+    found = decontamination.longest_matches(df, bench).collect()
+    assert sorted(tuple(r) for r in found if r.item_id) == [(3, "nine", 0, 1, 250), (3, "ten", 1, 201, 50)]
 
 
 # --- 9 ---
