@@ -5,9 +5,10 @@ the Hilbert key of that point on a grid. Documents that lie near each other on t
 by side: laid end to end along the curve and cut every `length` tokens, so that only the very last
 sequence of the corpus has padding.
 
-The curve is cut into buckets at quantiles of the keys. A first, light pass over (key, length) sums the
-tokens of each bucket, so a bucket knows its first position and is packed on its own. Low bits of the sort
-key come from a hash of the row, so a large group of equal texts spreads over buckets.
+The curve is cut into buckets at quantiles of the keys, weighted by tokens, so that buckets hold about as many tokens
+each, however long documents crowd in places. A light pass over (key, length) sums the tokens of each bucket, so
+a bucket knows its first position and is packed on its own. Low bits of the sort key come from a hash of the
+row, so a large group of equal texts spreads over buckets.
 
 Defined results: a null text is an empty one (its end id only); rows with the same or no id are documents of
 their own; an empty table gives an empty table. A sequence is padded to `length`, or not at all where its
@@ -16,11 +17,12 @@ own length is a power of two.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import UID, keyed, materialize, mix, reducers, table, tune
@@ -96,8 +98,7 @@ def pack(docs: DataFrame, vocabulary: str, kind: str, length: int = LENGTH, end_
     tune(spark)
     all_ids = materialize(placed(keyed(docs, id_col, text_col), vocabulary, kind, end_id))
     buckets = reducers(all_ids)
-    cuts = sorted(set(all_ids.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.25 / buckets))) if buckets > 1 else []
-    all_ids = _bucketed(all_ids, cuts)
+    all_ids = all_ids.withColumn("bucket", bucket_of(F.col("key"), token_cuts(all_ids, buckets)))
     first, total = {}, 0
     for b, n in sorted(map(tuple, all_ids.groupBy("bucket").agg(F.sum("n")).collect())):  # one row per bucket
         first[b], total = total, total + n
@@ -124,16 +125,29 @@ def pack(docs: DataFrame, vocabulary: str, kind: str, length: int = LENGTH, end_
     return dealt.mapInArrow(run, PIECES)
 
 
-def _bucketed(ids: DataFrame, cuts: list[float]) -> DataFrame:
-    """With `bucket`, the number of cuts at or below a row's key."""
-    edges = np.array(cuts, np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.searchsorted(edges, batch.column("key").to_numpy(), "right").astype(np.int32)
-            yield batch.append_column("bucket", pa.array(found))
-
-    return ids.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema) + ", bucket int")
+def token_cuts(ids: DataFrame, buckets: int) -> list[int]:
+    """Keys that part the curve into `buckets` parts of about as many tokens, in order.
+
+    A row counts once for every `unit` tokens, the rest by a chance that its row key decides, so the weights add up to the tokens."""
+    if buckets <= 1:
+        return []
+    total = ids.agg(F.sum("n")).first()[0] or 0
+    unit = max(1, min(1024, total // (64 * buckets)))
+    times = F.floor(F.col("n") / unit + F.pmod(F.xxhash64(UID), F.lit(4096)) / 4096.0).cast("int")
+    weighted = ids.select("key", F.explode(F.array_repeat(F.lit(0), times)))
+    return sorted({int(k) for k in weighted.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.25 / buckets)})
+
+
+def bucket_of(key: Column, cuts: list[int]) -> Column:
+    """How many of the cuts lie at or below a key: first among every so many cuts, then among those in between."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    at_most = lambda array: F.size(F.filter(array, lambda x: x <= key))
+    parts = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    before = at_most(longs([p[0] for p in parts]))
+    return F.when(before == 0, 0).otherwise((before - 1) * step + at_most(F.get(F.array(*map(longs, parts)), before - 1)))
 
 
 def sequences(pieces: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
