@@ -2,9 +2,9 @@
 
 1. Tasks count their pre-tokens (text between ASCII white space); a shuffle adds the counts up.
 2. The tokenizer runs over the distinct pre-tokens only, each once, and keeps the number of pieces.
-3. Per document, pre-token frequencies meet those numbers. The commonest pre-tokens, `HEAD` of them at
-   most, come as a broadcast table and are summed where the text is read, so no hot key is shuffled;
-   all others are exploded, joined and summed. No token ids are made for documents.
+3. Per document, pre-token frequencies meet those numbers. The commonest pre-tokens, `HEAD` of them and
+   `HEAD_BYTES` bytes each at most, come as a broadcast table and are summed where the text is read, so no hot
+   key is shuffled; all others, long ones too, are exploded, joined and summed. No token ids are made for documents.
 
 Defined results: null and empty texts have 0 tokens and 0 bytes; rows with the same or no id are counted
 on their own; an empty table gives an empty table; other columns are ignored.
@@ -24,8 +24,8 @@ from tidemark.llm.line_dedup import texts_of
 from tidemark.llm.tokens import path, pieces_of
 
 LIMIT = 2048
-#: Pre-tokens that are broadcast with their number of pieces: about 20 MB, whatever the corpus' size.
-HEAD = 400_000
+#: Pre-tokens that are broadcast with their number of pieces, and the bytes of the longest: under 40 MB, whatever the corpus.
+HEAD, HEAD_BYTES = 400_000, 64
 #: Distinct pre-tokens that a task holds before it passes their counts on.
 HELD = 400_000
 
@@ -64,8 +64,9 @@ def with_pieces(counts: DataFrame, file: str) -> DataFrame:
 
 
 def common_pre_tokens(pieces: DataFrame, head: int) -> dict[bytes, int]:
-    """The commonest pre-tokens with their pieces: at most `head`, cut where a histogram of counts says so."""
+    """The commonest pre-tokens of at most `HEAD_BYTES` bytes with their pieces: at most `head`, cut where a histogram of counts says so."""
     step = F.floor(F.log2("n") * 16).cast("int")
+    pieces = pieces.filter(F.octet_length("pre_token") <= HEAD_BYTES)
     total, least = 0, None
     for b, n in sorted(map(tuple, pieces.groupBy(step.alias("b")).count().collect()), reverse=True):  # 1,024 rows at most
         if total + n > head:
