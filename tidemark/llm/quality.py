@@ -21,7 +21,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, carried, materialize, restored, table, tune
+from tidemark.llm.common import carried, materialize, restored, table, tune
 
 ALPHA, DELTA = 0.05, 0.05
 MIN_WORDS = 50
@@ -145,11 +145,10 @@ def verdict(steps: dict, stratum_col: str | None = "lang") -> Column:
 def quality_filter(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", stratum_col: str | None = "lang") -> DataFrame:
     """The rows of `docs` that pass, with the columns of `docs`."""
     tune(docs.sparkSession)
-    rows = carried(docs, id_col, text_col)
     stratum = F.col(f"rest.`{stratum_col}`").cast("string") if stratum_col else F.lit("")
-    measures = materialize(measured(rows.select(UID, "doc_id", stratum.alias("stratum"), "text")).drop("text"))
-    kept = measures.filter(verdict(choose(measures, labels, "doc_id", "stratum"), "stratum")).select(UID)
-    return restored(rows.join(kept, UID, "left_semi"), docs, text_col)
+    # texts are written with their measures, so that the verdict needs no join
+    rows = materialize(measured(carried(docs, id_col, text_col).select("doc_id", stratum.alias("stratum"), "text", "rest")))
+    return restored(rows.filter(verdict(choose(rows, labels, "doc_id", "stratum"), "stratum")), docs, text_col)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
