@@ -39,7 +39,7 @@ LEAST_ESTIMATE = 0.55
 #: Nodes of a bucket compared in one task at once.
 CHUNK = 4096
 BLOCK_RECORDS = 1_000_000
-#: Node numbers (8 bytes each) that are broadcast to pick texts; more are joined by a shuffle.
+#: Row keys (8 bytes each) that are broadcast to pick or drop texts; more are joined by a shuffle.
 MOST_BROADCAST_NODES = 1_000_000
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * K1)
 XOR, MULTIPLY = _SEEDS[:PERMUTATIONS], _SEEDS[PERMUTATIONS:] | np.uint64(1)
@@ -295,6 +295,11 @@ def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A written table of row keys, to be broadcast if it has at most `MOST_BROADCAST_NODES` rows."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST_NODES else rows
+
+
 def full_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles) of some nodes, written to the shared folder."""
 
@@ -306,8 +311,7 @@ def full_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.record_batch([batch.column(UID).slice(i, j - i), pa.array([s[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["node", "shingles"])
 
     needed = materialize(nodes.select(F.col("node").alias(UID)).distinct())
-    few = needed.count() <= MOST_BROADCAST_NODES
-    picked = rows.select(UID, "text").join(F.broadcast(needed) if few else needed, UID, "left_semi")
+    picked = rows.select(UID, "text").join(_few(needed), UID, "left_semi")
     return materialize(picked.mapInArrow(run, "node long, shingles binary"), "none")
 
 
@@ -373,8 +377,8 @@ def near_groups(rows: DataFrame, slots: int) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that come first in their group of near duplicates, with the columns of `docs`."""
     found = near_groups(keyed(docs, id_col, text_col), reducers(docs))
-    kept = found.filter(F.col("head") == F.col(UID)).select(UID)
-    return restored(carried(docs, id_col, text_col).join(kept, UID, "left_semi"), docs, text_col)
+    dropped = materialize(found.filter(F.col("head") != F.col(UID)).select(UID))
+    return restored(carried(docs, id_col, text_col).join(_few(dropped), UID, "left_anti"), docs, text_col)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
