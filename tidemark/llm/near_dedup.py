@@ -4,17 +4,22 @@
    keys; of each minimum `BITS` low bits are kept and packed. Documents with equal sets are one node from here on.
 2. A packed shuffle brings equal band keys together. Every bucket gives links to its hub only (one row per
    member). The packed signatures estimate similarity by counting equal lanes, corrected for chance collisions;
-   each node's best hub is confirmed on full sets, and components are formed.
-3. In buckets that still hold nodes of two components, estimates are compared across components. First each node
-   names its best partner only, which is confirmed as before. Then the nodes that still have a partner across
-   components bring their full sets to their buckets, where all such pairs are confirmed in place: what leaves
-   a bucket is one link per pair of components at most. Large buckets are cut into chunks, compared pair by pair
-   of chunks in tasks of their own. A pair inside one component can't change the result, so none is looked at.
+   each node's best hub is confirmed on full sets, and roots are found along the confirmed links.
+3. Buckets of at most `CHUNK` nodes that still hold nodes of two components compare estimates across components
+   (`linked`). First each node names its best partner only, which is confirmed as before. Then the nodes that
+   still have a partner across components bring their full sets to their groups, where all such pairs are confirmed
+   in place: what leaves a group is one link per pair of components at most. A pair inside one component can't
+   change the result, so none is looked at.
+4. Larger mixed buckets would cost the square of their size. Their nodes are grouped anew by the rare shingles of their
+   sets (`by_rare_shingles`, a prefix filter, which loses no pair), and those groups are linked as in 3. A
+   template that many documents share groups nobody, if what it leaves free differs. Groups that are still large are
+   cut into chunks, compared pair by pair of chunks in tasks of their own.
 
 A pair at the threshold is missed with probability (1 - 0.75^4)^40 < 3e-7 by the bands and < 1e-7 by the estimate's margin.
 
 Defined results: null texts and texts without words have an empty set and stand alone; rows with equal texts are
-one group whatever their ids; null ids are never smaller than others; an empty table gives an empty table.
+one group whatever their ids; null ids are never smaller than others, and a group of null ids alone has no component id
+and is kept; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import K1, UID, Words, buffers, carried, drop_written, keyed, materialize, mix, reducers, restored, slices, table, tune, windows
-from tidemark.llm.components import components
+from tidemark.llm.components import forest_roots, merged
 from tidemark.llm.packed import cut, groups, repeated
 
 SHINGLE, PERCENT = 5, 75
@@ -36,8 +41,10 @@ ROWS, BANDS, BITS = 4, 40, 4
 PERMUTATIONS = ROWS * BANDS
 #: Estimates down to this (93 equal lanes) pass to the exact check: P(Bin(160, 0.765625) <= 92) = 7.8e-8 at the threshold.
 LEAST_ESTIMATE = 0.55
-#: Nodes of a bucket compared in one task at once.
-CHUNK = 4096
+#: Nodes of a bucket that are compared pair by pair; the largest set (in shingles) that is brought to a group.
+CHUNK, BIG_SET = 512, 1 << 16
+#: Counters of the sketch that says which shingles are rare (8 bytes each).
+SKETCH = 1 << 20
 BLOCK_RECORDS = 1_000_000
 #: Row keys (8 bytes each) that are broadcast to pick or drop texts; more are joined by a shuffle.
 MOST_BROADCAST_NODES = 1_000_000
@@ -194,17 +201,21 @@ def hub_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
 
 
 def met(members: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Rows (bucket, low, high, own, node, root, sig) of buckets with two components or more, a group for each pair of chunks."""
+    """Rows (bucket, low, high, own, node, root, sig) of buckets with two components or more, a group for each pair of chunks (of most buckets: one)."""
     placed = members.select("bucket", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    alive = placed.join(mixed, "bucket").withColumns({"chunks": chunks, "own": own})
+    alive = placed.join(_mixed(placed), "bucket").withColumns({"chunks": chunks, "own": own})
     # every chunk meets every other, and itself
     pairs = alive.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return pairs.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root").join(sigs, "node").select(*GROUP, "own", "node", "root", "sig")
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """(bucket) of rows (bucket, root): those with two components or more, as a written table."""
+    return materialize(placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket"))
+
+
 GROUP = ["bucket", "low", "high"]
 
 
@@ -262,12 +273,12 @@ def best_partners(groups_: DataFrame) -> DataFrame:
 
 
 def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(u, v): links across components, from groups with full sets; two components of a group are linked once."""
+    """(u, v, sure): links across components, from groups with full sets; two components of a group are linked once. Pairs with a set that wasn't brought aren't sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, [*GROUP, "own", "node", "root", "sig", "shingles"]):
-            sets = [np.frombuffer(g[7], np.uint64) for g in group]
-            size, node = np.array([len(x) for x in sets]), [g[4] for g in group]
+            sets = [None if g[7] is None else np.frombuffer(g[7], np.uint64) for g in group]
+            size, node = np.array([0 if x is None else len(x) for x in sets]), [g[4] for g in group]
             over: dict[int, int] = {g[5]: g[5] for g in group}
 
             def top(x: int, over=over) -> int:
@@ -280,7 +291,8 @@ def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
             for i, j, _ in _crossing(group):
                 for a in np.unique(i):
                     near = [b for b in j[i == a] if top(group[a][5]) != top(group[b][5])]
-                    if not near:
+                    found += [(node[a], node[b], False) for b in near if sets[a] is None or sets[b] is None]
+                    if sets[a] is None or not (near := [b for b in near if sets[b] is not None]):
                         continue
                     cat, starts = np.concatenate([sets[b] for b in near]), np.concatenate(([0], np.cumsum(size[near])[:-1]))
                     at = np.minimum(np.searchsorted(sets[a], cat), size[a] - 1)
@@ -288,11 +300,62 @@ def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
                     for b, n in zip(near, both):
                         if 100 * n >= percent * (size[a] + size[b] - n) and (x := top(group[a][5])) != (y := top(group[b][5])):
                             over[x] = y
-                            found.append((node[a], node[b]))
-            yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["u", "v"])
+                            found.append((node[a], node[b], True))
+            yield pa.record_batch([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["u", "v", "sure"])
 
     dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "u long, v long, sure boolean")
+
+
+def _rarity(sets: DataFrame, counters: int) -> np.ndarray:
+    """How many shingles of all sets fall to each counter: one row per counter is collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, np.int64)
+        for batch in batches:
+            for x in batch.column("shingles").to_pylist():
+                np.add.at(total, _counter(np.frombuffer(x, np.uint64), counters), 1)
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["at", "n"])
+
+    rows = sets.select("shingles").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(counters, np.int64)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return out
+
+
+def _counter(shingles: np.ndarray, counters: int) -> np.ndarray:
+    return (shingles & np.uint64(counters - 1)).astype(np.int64)
+
+
+def by_rare_shingles(sets: DataFrame, roots: DataFrame, percent: int = PERCENT, counters: int = SKETCH) -> DataFrame:
+    """`MEMBERS`-like rows (bucket, node, size): nodes grouped by shingles, so that every pair that is similar enough meets in a group.
+
+    In any one order of all shingles, two sets of n and m that are similar enough share one of the first n - ceil(n t) + 1 of the
+    one and of the first m - ceil(m t) + 1 of the other (t: the threshold). The order here is from rare to common. At the first one
+    that they share, places i and j, at least n - i and m - j shingles are left for the overlap, so the smaller set's
+    `reach`, the largest partner that its place allows, covers its own size: a group without such a node holds no pair."""
+    sent = sets.sparkSession.sparkContext.broadcast(_rarity(sets, counters))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for node, root, x in zip(batch.column("node").to_pylist(), batch.column("root").to_pylist(), batch.column("shingles").to_pylist()):
+                s = np.frombuffer(x, np.uint64)
+                n, c = len(s), counts[_counter(s, counters)]
+                order = np.lexsort((s, c))[: n + percent * -n // 100 + 1]  # n - ceil(n t) + 1
+                place = np.arange(len(order))
+                able = (n - place) * (100 + percent) // percent - n >= n
+                some = c[order] > 1  # a shingle of one set only groups nobody
+                for held, values in zip(out, (s[order][some].view(np.int64), np.full(some.sum(), node), np.full(some.sum(), root), able[some])):
+                    held.append(values)
+            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
+            yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3].astype(bool))], ["bucket", "node", "root", "able"])
+
+    rows = materialize(sets.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "shingles").mapInArrow(run, "bucket long, node long, root long, able boolean"))
+    groups_ = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("able").alias("able"), F.count("*").alias("size")).filter("a <> b and able").select("bucket", "size")
+    return materialize(rows.select("bucket", "node").join(materialize(groups_), "bucket").select("bucket", "node", "size"))
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -336,42 +399,58 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
 
 
-def node_roots(nodes: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, root) of all nodes with links."""
-    sigs = nodes.select("node", "sig")
-    pairs = materialize(hub_pairs(members, sigs))
-    sets = full_sets(rows, _ends(pairs))
-    roots = materialize(components(confirmed(pairs, sets)))
-    drop_written(sets)
+def linked(members: DataFrame, roots: DataFrame, sigs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Roots after all links across components between the members of each bucket."""
     best = materialize(best_partners(met(members, roots, sigs)))
     if best.isEmpty():
         return roots
     pairs = materialize(best.groupBy(F.col("node").alias("u")).agg(F.max_by("partner", F.struct("est", "partner")).alias("v")))
     sets = full_sets(rows, best.select("node"))  # partners are nodes of the same group, so they are there too
-    as_links = lambda r: r.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    roots = materialize(components(as_links(roots).unionByName(confirmed(pairs, sets))))
-    left = best.select(*GROUP, "node")
-    groups_ = met(members, roots, sigs).join(left, [*GROUP, "node"], "left_semi").join(sets, "node")
+    roots = merged(roots, confirmed(pairs, sets))
+    brought = sets.filter(F.octet_length("shingles") <= 8 * BIG_SET)
+    groups_ = met(members, roots, sigs).join(best.select(*GROUP, "node"), [*GROUP, "node"], "left_semi").join(brought, "node", "left")
     links = materialize(links_in_place(groups_))
     if not links.isEmpty():
-        roots = materialize(components(as_links(roots).unionByName(links)))
+        unsure = links.filter("not sure").select("u", "v").distinct()
+        roots = merged(roots, links.filter("sure").select("u", "v").unionByName(confirmed(unsure, sets)))
     drop_written(sets)
     return roots
 
 
+def node_roots(nodes: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, root) of all nodes with links."""
+    sigs = nodes.select("node", "sig")
+    pairs = materialize(hub_pairs(members, sigs))
+    sets = full_sets(rows, _ends(pairs))
+    roots = forest_roots(confirmed(pairs, sets))
+    drop_written(sets)
+    roots = linked(members.filter(F.col("size") <= CHUNK), roots, sigs, rows)
+    large = members.filter(F.col("size") > CHUNK).select("bucket", "node")
+    placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    left = materialize(placed.join(_mixed(placed), "bucket", "left_semi").select("node").distinct())
+    if left.isEmpty():
+        return roots
+    sets = full_sets(rows, left)
+    regrouped = by_rare_shingles(sets, roots)
+    drop_written(sets)
+    return linked(regrouped, roots, sigs, rows)
+
+
 def near_groups(rows: DataFrame, slots: int) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, head) for rows of `keyed`: head is the row key of the group's first document."""
     tune(rows.sparkSession)
     all_ = materialize(signed(rows.select(UID, "doc_id", "text")))
-    same = all_.filter("digest is not null").groupBy("digest").agg(F.min(UID).alias("node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", UID)).alias("first")
+    same = materialize(all_.filter("digest is not null").groupBy("digest").agg(F.min(UID).alias("node"), first))
     nodes = materialize(all_.join(same.select(F.col("node").alias(UID)), UID, "left_semi").select(F.col(UID).alias("node"), "sig", "bands"))
     members = materialize(buckets(nodes, slots))
     roots = node_roots(nodes, members, rows)
-    member = all_.select(UID, "doc_id", "n", "digest").join(same, "digest", "left").join(roots, "node", "left")
-    member = member.select(UID, "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node", UID).alias("root"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", UID))
-    heads = member.groupBy("root").agg(first.alias("first")).select("root", F.col("first.doc_id").alias("component_id"), F.col(f"first.{UID}").alias("head"))
-    return member.join(heads, "root").select(UID, "doc_id", "n_shingles", "component_id", "head")
+    # tables are written before they meet a key that many rows share: Spark splits such a join where both sides are plain
+    sets = materialize(same.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), "first"))
+    heads = materialize(sets.groupBy("root").agg(F.min("first").alias("first")))
+    groups_ = materialize(sets.select("digest", "root").join(heads, "root").select("digest", F.col("first.doc_id").alias("component_id"), F.col(f"first.{UID}").alias("head")))
+    member = all_.select(UID, "doc_id", F.col("n").alias("n_shingles"), "digest").join(groups_, "digest", "left")
+    return member.select(UID, "doc_id", "n_shingles", F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("head", UID).alias("head"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,4 +464,19 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: every document's group of near duplicates."""
     docs = table(spark, sf_dir, "documents")
     found = near_groups(keyed(docs, "doc_id", "text"), reducers(docs))
-    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+ORACLE = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+             ELSE [array_to_string(w[i : i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})] END) AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= {PERCENT} * (na.n + nb.n - c)),
+t AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, t.b FROM r JOIN t ON r.c = t.a)
+SELECT doc_id, any_value(n) AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept FROM r JOIN n USING (doc_id) GROUP BY doc_id
+"""

@@ -23,6 +23,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ORACLES: dict[str, str] = {
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_quality_rules": quality.ORACLE,
+    "op4_near_dedup": near_dedup.ORACLE,
     "op8_decontamination": decontamination.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE,
 }
