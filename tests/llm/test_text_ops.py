@@ -181,13 +181,74 @@ def test_quality_measures(docs):
         assert [got["__quality_" + m] for m in quality.MEASURES] == [len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(twice)]
 
 
-def test_certified_steps():
-    n = len(quality.PATH)
-    counts = [("en", True, n, 990), ("en", True, n - 1, 400), ("en", False, 3, 50), ("en", False, 5, 20), ("fr", True, n, 10), ("fr", False, 0, 9)]
-    assert quality.certified_steps(counts) == {"en": 5}
+def test_certified():
+    path = quality.tuned_paths([("en", 0, 9, 960), ("en", 0, 8, 40), ("en", 1, 9, 998), ("en", 1, 3, 2), ("en", 2, 9, 1000), ("en", 3, 0, 1000)])["en"]
+    assert path[0] == (0, 0, 0, 0) and path[1] == (7, 2, 8, 0) and path[2] == (7, 8, 8, 0) and path[8] == (8, 8, 8, 0)
+    good, bad = [0, 0, 5, 10, 20, 40, 0, 0, 0, 925], [3, 0, 4, 0, 9, 9, 9, 0, 0, 1]
+    found = quality.certified("en", path, good, 0, bad, 0.02)
+    assert (found.promise, found.cutoffs, found.refused) == ("all", path[4], 35)  # step 5 would refuse 75 of 1000
+    found = quality.certified("en", path, good, 500, bad, 0.02)
+    assert (found.promise, found.refused, found.rates[1]) == ("passed", 35, 0.035) and found.rates[0] > 0.3
+    assert quality.certified("en", path, [0] * 9 + [20], 0, bad, 0.01).promise is None
     assert quality.binomial_tail(0, 10, 0.5) == pytest.approx(2**-10) and quality.binomial_tail(10, 10, 0.5) == pytest.approx(1)
 
 
+def test_certificates_hold(spark):
+    """Against a plain version, on documents whose good ones fail the cutoffs at known rates; the promise holds on fresh ones."""
+    rng = random.Random(3)
+
+    def measures(good):
+        n = rng.choice([30, 80, 200]) if rng.random() < 0.02 else rng.randint(60, 200)
+        letters = rng.gauss(5, 0.8) if good else rng.choice([rng.gauss(5, 0.8), rng.gauss(9, 2), rng.gauss(2, 0.5)])
+        symbols = abs(rng.gauss(0, 0.01)) if good else abs(rng.gauss(0, 0.2))
+        return n, int(n * letters), int(n * letters * symbols), int(n * letters) + n, rng.randint(0, 2 if good else 9), 10, 0
+
+    rows = [(i, rng.choice(["en", "de", None]), g, *measures(g)) for i in range(9000) for g in [rng.random() < 0.8]]
+    names = "n_words word_chars n_symbols n_chars n_dup_lines n_lines n_repeat_words".split()
+    df = spark.createDataFrame([r[:2] + r[3:] for r in rows], "doc_id long, lang string, " + ", ".join(f"__quality_{x} long" for x in names))
+    labels = spark.createDataFrame([(r[0], int(r[2])) for r in rows if r[0] < 6000], "doc_id long, quality int")
+    found = {c.stratum: c for c in quality.certificates(df, labels)}
+    assert set(found) == {"en", "de", ""} and all(c.promise and c.refused for c in found.values())
+    kept = {r.doc_id for r in df.filter(quality.verdict(list(found.values()))).select("doc_id").collect()}
+
+    def refused(r, cutoffs):
+        n, letters, symbols, chars, dup, lines, _ = r[3:]
+        return symbols / max(1, chars) > quality.RULES[0][1][cutoffs[0]] or letters / n > quality.RULES[1][1][cutoffs[1]] or dup / lines > quality.RULES[2][1][cutoffs[2]] or letters / n < quality.RULES[3][1][cutoffs[3]]
+
+    tuning = lambda d: hashlib.md5(str(d).encode()).hexdigest() < "4"
+    for stratum, c in found.items():
+        own = [r for r in rows if (r[1] or "") == stratum]
+        base = lambda r: r[3] < 50
+        tuned = [r for r in own if r[0] < 6000 and r[2] and tuning(r[0]) and not base(r)]
+        held = [r for r in own if r[0] < 6000 and r[2] and not tuning(r[0])]
+        steps = [(0, 0, 0, 0)]
+        for level in quality.LEVELS:
+            cut = []
+            for rule in range(4):
+                ok = [0]
+                for k in range(9):
+                    lenient = {0: lambda r: r[5] / max(1, r[6]), 1: lambda r: r[4] / r[3], 2: lambda r: r[7] / r[8], 3: lambda r: -r[4] / r[3]}[rule]
+                    limit = quality.RULES[rule][1][k] * (-1 if rule == 3 else 1)
+                    if 1000 * sum(lenient(r) > limit for r in tuned) <= level * len(tuned):
+                        ok.append(k)
+                cut.append(max(ok))
+            steps.append(tuple(cut))
+        best = None
+        for promise in ("all", "passed"):
+            some = [r for r in held if promise == "all" or not base(r)]
+            last = -1
+            while last < 8 and quality.binomial_tail(sum(base(r) or refused(r, steps[last + 1]) for r in some), len(some), 0.05) <= 0.05 / 6:
+                last += 1
+            if last >= 0:
+                bad = [sum(refused(r, steps[j]) for r in own if r[0] < 6000 and not r[2] and not base(r)) for j in range(last + 1)]
+                best = (promise, steps[bad.index(bad[-1])])
+                break
+        assert (c.promise, c.cutoffs) == best
+        assert {r[0] for r in own if not base(r) and not refused(r, c.cutoffs)} == {r[0] for r in own} & kept
+        fresh = [r for r in own if r[0] >= 6000 and r[2] and (c.promise == "all" or not base(r))]
+        assert sum(r[0] not in kept for r in fresh) <= 0.06 * len(fresh)
+
+
 def test_quality_filter_keeps_columns(spark, docs, empty):
     labels = spark.createDataFrame([(i, 1) for i in range(100, 160)], "doc_id long, quality int")
     out = quality.quality_filter(docs, labels)
