@@ -860,6 +860,50 @@ def test_line_dedup_is_reversible(spark, tmp_path):
     assert more.delete(b).refs.exceptAll(index.refs).count() == 0
 
 
+def test_filters_follow_insertions_and_deletions(spark, tmp_path, monkeypatch):
+    """Every key of the table is judged as its count says, after each change; cells of untouched shards stay as they are."""
+    monkeypatch.setattr(line_dedup, "shard_count", lambda docs: 8)
+    rng = random.Random(5)
+    lines = [f"line {i}" for i in range(300)]
+    part = lambda n: frame(spark, tmp_path, ["\n".join(rng.sample(lines, 20)) for _ in range(n)])
+    a, b, c = part(20), part(10), frame(spark, tmp_path, ["line 0"] * 3)
+    index = line_dedup.LineIndex.build(a, 3)
+    built = index.filters
+
+    def exact(index):
+        member = line_dedup._by_filter(spark, index.filters, index.shards)
+        refs = [(bytes(r["key"]), r["docs"]) for r in index.refs.collect()]
+        assert member([k for k, _ in refs]).tolist() == [n >= 3 for _, n in refs]
+        return {k: n for k, n in refs}
+
+    counts = [exact(index)]
+    for change in (lambda i: i.insert(b), lambda i: i.insert(c), lambda i: i.delete(a), lambda i: i.delete(c), lambda i: i.insert(a), lambda i: i.delete(b)):
+        index = change(index)
+        counts.append(exact(index))
+    assert counts[-1] == counts[0] and counts[3] != counts[0] and exact(index.compacted()) == counts[0]
+    changed = line_dedup.LineIndex.build(a, 3).insert(c).filters
+    same = {r["shard"]: r["cells"] for r in built.collect()}
+    assert sum(same[r["shard"]] != r["cells"] for r in changed.collect()) <= 1
+
+
+def test_keys_with_the_fingerprint_of_a_new_member_are_exceptions(spark):
+    key = lambda low, mark, rest=0: low.to_bytes(4, "little") + mark.to_bytes(4, "little") + rest.to_bytes(8, "little")
+    rows = lambda *x: spark.createDataFrame([(0, bytearray(k), f) for k, f in x], "shard int, key binary, flip int")
+    filters = spark.createDataFrame([(0, bytearray(line_dedup.CuckooFilter(100).cells.tobytes()), bytearray())], line_dedup.FILTERS)
+    got = line_dedup.update_filters(filters, rows((key(5, 77), 1), (key(5, 77, 1), 0), (key(6, 78), 0)), 8).first()
+    assert bytes(got["exceptions"]) == key(5, 77, 1)
+    back = line_dedup.update_filters(spark.createDataFrame([got], line_dedup.FILTERS), rows((key(5, 77), -1)), 8).first()
+    assert not np.frombuffer(back["cells"], np.uint32).any()
+
+
+def test_full_filters_are_built_anew(spark, tmp_path):
+    few = frame(spark, tmp_path, ["x"] * 3)
+    many = frame(spark, tmp_path, ["\n".join(f"l{i}" for i in range(3000))] * 3)
+    index = line_dedup.LineIndex.build(few, 3).insert(many)
+    assert len(index.parts) == 1 and index.members().count() == 3001
+    assert index.drop_lines(line_dedup.keyed(many, "doc_id", "text")).agg(F.sum("n_dropped")).first()[0] == 9000
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 3000).astype(np.uint64)

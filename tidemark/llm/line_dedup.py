@@ -9,6 +9,11 @@ Each shard's cuckoo filter holds the keys at or above the limit. As the shard al
 of all other keys, those that the filter would take for members are found when it is built and kept as
 exceptions: filter and exceptions together are exact for every key of the table.
 
+Insertions and deletions cost what they change. Their counts are written beside the table as one more part. Old counts
+are looked up for their keys alone; keys that reach the limit are inserted into their shards' filters, keys
+that fall below it are deleted from them, in place. New exceptions can only be keys of the change itself, or keys
+that share a fingerprint with an inserted one: those are found by it. Only a filter that is full is built anew.
+
 Defined results: null and empty texts are one empty line, which has no key and stays; rows with the same
 or no id are documents of their own; an empty table gives an empty table. Keys are 128-bit hashes.
 """
@@ -16,12 +21,13 @@ or no id are documents of their own; an empty table gives an empty table. Keys a
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE, UID, carried, keyed, materialize, mix, plan_bytes, restored, table, tune, with_fields
@@ -140,23 +146,128 @@ def count_lines(docs: DataFrame, shards: int, min_key_chars: int = MIN_KEY_CHARS
     return docs.select("text").mapInArrow(run, REFS).groupBy("shard", "key").agg(F.sum("docs").alias("docs"))
 
 
+FILTERS = "shard int, cells binary, exceptions binary"
+
+
+def build_filters(refs: DataFrame, shards: int, least: int) -> DataFrame:
+    """`FILTERS`: each shard's cuckoo filter, and the rare keys that it wrongly takes for members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, members, found, wrong = -1, [], None, []
+
+        def done() -> pa.RecordBatch:
+            return _filter_row(shard, found or CuckooFilter.of(members), wrong)
+
+        for batch in batches:
+            of, keys, docs = batch.column("shard").to_numpy(), batch.column("key").to_pylist(), batch.column("docs").to_numpy()
+            h = np.frombuffer(b"".join(keys), "<u8")[0::2]
+            for s in np.unique(of):
+                if s != shard:
+                    if shard >= 0:
+                        yield done()
+                    shard, members, found, wrong = int(s), [], None, []
+                here = of == s
+                members += h[here & (docs >= least)].tolist()
+                if (rest := np.flatnonzero(here & (docs < least))).size:
+                    found = found or CuckooFilter.of(members)
+                    wrong += [keys[i] for i in rest[found.has(h[rest])]]
+        if shard >= 0:
+            yield done()
+
+    dealt = refs.repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("docs") < least)
+    return dealt.mapInArrow(run, FILTERS)
+
+
+def _filter_row(shard: int, found: CuckooFilter | None, exceptions: Iterable[bytes]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([shard], pa.int32()), pa.array([found and found.cells.tobytes()], pa.binary()), pa.array([b"".join(exceptions)], pa.binary())], ["shard", "cells", "exceptions"])
+
+
+def _mark(key: Column) -> Column:
+    """The bytes of a key's fingerprint."""
+    mark = F.substring(key, 5, 4)
+    return F.when(mark == F.lit(b"\0\0\0\0"), F.lit(b"\1\0\0\0")).otherwise(mark)
+
+
+def update_filters(filters: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
+    """`FILTERS` after changes (shard, key, flip): flip 1 makes a key a member, -1 ends that, 0 is another key that isn't one. Cells are NULL where a filter is full."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, found, wrong, full = -1, None, set(), False
+
+        def done() -> pa.RecordBatch:
+            return _filter_row(shard, None if full else found, sorted(wrong))
+
+        for batch in batches:  # in order of shard and kind: the filter, members that go, members that come, other keys
+            for s, kind, key, cells, exceptions in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "key", "cells", "exceptions"))):
+                if s != shard:
+                    if shard >= 0:
+                        yield done()
+                    shard, found, wrong, full = s, CuckooFilter(1024), set(), False
+                if kind == 0:
+                    found = CuckooFilter(cells=np.frombuffer(cells, np.uint32).reshape(-1, CuckooFilter.SLOTS).copy())
+                    wrong = {exceptions[i : i + 16] for i in range(0, len(exceptions), 16)}
+                    continue
+                h = int.from_bytes(key[:8], "little")
+                if kind == 1:
+                    found.delete(h)
+                elif kind == 2:
+                    wrong.discard(key)
+                    try:
+                        found.insert(h)
+                    except OverflowError:
+                        full = True
+                elif found.has(np.array([h], np.uint64))[0]:
+                    wrong.add(key)
+        if shard >= 0:
+            yield done()
+
+    nothing = F.lit(None).cast("binary")
+    old = filters.select("shard", F.lit(0).alias("kind"), nothing.alias("key"), "cells", "exceptions")
+    new = changes.select("shard", F.when(F.col("flip") < 0, 1).when(F.col("flip") > 0, 2).otherwise(3).alias("kind"), "key", nothing.alias("cells"), nothing.alias("exceptions"))
+    gone = changes.filter("flip < 0").select("shard", F.lit(3).alias("kind"), "key", nothing.alias("cells"), nothing.alias("exceptions"))
+    dealt = old.unionByName(new).unionByName(gone).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "key")
+    return dealt.mapInArrow(run, FILTERS)
+
+
 class LineIndex:
-    """The exact reference-count table of a corpus, and what follows from it."""
+    """The exact reference-count table of a corpus, and each shard's filter. The table is a base and what was inserted or deleted since, in written parts."""
 
-    def __init__(self, refs: DataFrame, shards: int, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS):
-        self.refs, self.shards, self.min_docs, self.min_key_chars = refs, shards, min_docs, min_key_chars
+    def __init__(self, parts: list[DataFrame], filters: DataFrame, shards: int, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS):
+        self.parts, self.filters, self.shards, self.min_docs, self.min_key_chars = parts, filters, shards, min_docs, min_key_chars
 
     @classmethod
     def build(cls, docs: DataFrame, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
         """Index a corpus. The table is written to the shared folder."""
         tune(docs.sparkSession)
         shards = shard_count(docs)
-        return cls(materialize(count_lines(keyed(docs, id_col, text_col), shards, min_key_chars)), shards, min_docs, min_key_chars)
+        refs = materialize(count_lines(keyed(docs, id_col, text_col), shards, min_key_chars))
+        return cls([refs], materialize(build_filters(refs, shards, min_docs)), shards, min_docs, min_key_chars)
+
+    @property
+    def refs(self) -> DataFrame:
+        """(shard, key, docs): in how many documents each key stands."""
+        return self.parts[0] if len(self.parts) == 1 else _summed(self._rows())
+
+    def _rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
 
     def _changed(self, docs: DataFrame, sign: int, id_col: str, text_col: str) -> LineIndex:
-        delta = count_lines(keyed(docs, id_col, text_col), self.shards, self.min_key_chars, sign)
-        refs = self.refs.unionByName(delta).groupBy("shard", "key").agg(F.sum("docs").alias("docs")).filter("docs > 0")
-        return LineIndex(materialize(refs), self.shards, self.min_docs, self.min_key_chars)
+        change = materialize(count_lines(keyed(docs, id_col, text_col), self.shards, self.min_key_chars, sign))
+        parts = [*self.parts, change]
+        before = self._rows().join(change.select("shard", "key"), ["shard", "key"], "left_semi").groupBy("shard", "key").agg(F.sum("docs").alias("was"))
+        was = F.coalesce("was", F.lit(0))
+        flip = ((was + F.col("docs")) >= self.min_docs).cast("int") - (was >= self.min_docs).cast("int")
+        known = change.join(before, ["shard", "key"], "left").select("shard", "key", flip.alias("flip"), (was + F.col("docs")).alias("docs"))
+        known = materialize(known)
+        own = known.filter((F.col("flip") != 0) | (F.col("docs") < self.min_docs)).select("shard", "key", "flip")
+        marks = materialize(known.filter("flip > 0").select("shard", _mark(F.col("key")).alias("mark")).distinct())
+        alike = reduce(DataFrame.unionByName, parts).withColumn("mark", _mark(F.col("key"))).join(marks, ["shard", "mark"], "left_semi")
+        alike = _summed(alike.select("shard", "key", "docs")).filter(F.col("docs") < self.min_docs).join(own, ["shard", "key"], "left_anti").select("shard", "key", F.lit(0).alias("flip"))
+        filters = materialize(update_filters(self.filters, own.unionByName(alike), self.shards))
+        if not filters.filter("cells is null").isEmpty():
+            refs = materialize(_summed(reduce(DataFrame.unionByName, parts)))
+            return LineIndex([refs], materialize(build_filters(refs, self.shards, self.min_docs)), self.shards, self.min_docs, self.min_key_chars)
+        return LineIndex(parts, filters, self.shards, self.min_docs, self.min_key_chars)
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
         """The index with more documents."""
@@ -166,35 +277,9 @@ class LineIndex:
         """The index without documents that were inserted before: undoes `insert`."""
         return self._changed(docs, -1, id_col, text_col)
 
-    def filters(self) -> DataFrame:
-        """(shard, cells, exceptions): each shard's cuckoo filter, and the rare keys that it wrongly takes for members."""
-        least = self.min_docs
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shard, members, found, wrong = -1, [], None, []
-
-            def done() -> pa.RecordBatch:
-                cells = (found or CuckooFilter.of(members)).cells.tobytes()
-                return pa.record_batch([pa.array([shard], pa.int32()), pa.array([cells], pa.binary()), pa.array([b"".join(wrong)], pa.binary())], ["shard", "cells", "exceptions"])
-
-            for batch in batches:
-                of, keys, docs = batch.column("shard").to_numpy(), batch.column("key").to_pylist(), batch.column("docs").to_numpy()
-                h = np.frombuffer(b"".join(keys), "<u8")[0::2]
-                for s in np.unique(of):
-                    if s != shard:
-                        if shard >= 0:
-                            yield done()
-                        shard, members, found, wrong = int(s), [], None, []
-                    here = of == s
-                    members += h[here & (docs >= least)].tolist()
-                    if (rest := np.flatnonzero(here & (docs < least))).size:
-                        found = found or CuckooFilter.of(members)
-                        wrong += [keys[i] for i in rest[found.has(h[rest])]]
-            if shard >= 0:
-                yield done()
-
-        dealt = self.refs.repartitionById(self.shards, "shard").sortWithinPartitions("shard", F.col("docs") < least)
-        return dealt.mapInArrow(run, "shard int, cells binary, exceptions binary")
+    def compacted(self) -> LineIndex:
+        """The same index with its parts summed into one."""
+        return LineIndex([materialize(self.refs)], self.filters, self.shards, self.min_docs, self.min_key_chars)
 
     def members(self) -> DataFrame:
         """Keys at or above the limit, with their counts."""
@@ -204,13 +289,16 @@ class LineIndex:
         """Rows of `keyed` or `carried` with n_lines, n_dropped and the text that stays; the index has counted all their lines."""
         spark = rows.sparkSession
         tune(spark)
-        filters = materialize(self.filters())
-        size = filters.select(F.sum(F.octet_length("cells") + F.octet_length("exceptions"))).first()[0] or 0
+        size = self.filters.select(F.sum(F.octet_length("cells") + F.octet_length("exceptions"))).first()[0] or 0
         if size <= FILTER_BROADCAST_BYTES:
-            return _dropped(rows, _by_filter(spark, filters, self.shards), self.min_key_chars)
+            return _dropped(rows, _by_filter(spark, self.filters, self.shards), self.min_key_chars)
         return _dropped_by_join(rows, self)
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("shard", "key").agg(F.sum("docs").alias("docs")).filter("docs > 0")
+
+
 def _by_filter(spark: SparkSession, filters: DataFrame, shards: int):
     """A function of digests: which are members, by the broadcast filters."""
     sent = spark.sparkContext.broadcast({r["shard"]: (r["cells"], r["exceptions"]) for r in filters.toLocalIterator()})
