@@ -58,7 +58,7 @@ def test_classification(spark):
     rows = spark.createDataFrame([("f", i, line) for i, (line, _) in enumerate(CASES)], "path string, line_number long, line string")
     found = I.classify(rows).persist()
     assert [(r.type or r.reason) for r in found.orderBy("line_number").collect()] == [x for _, x in CASES]
-    counts = I.reconcile(found).first()
+    counts = I.reconcile(I.line_counts(rows), I.stored_counts(found)).first()
     assert counts.reconciled and counts.total_lines == len(CASES) and counts.rejects == 15
     assert I.rows_of(found, DATASETS["trade"]).schema["count_fp"].metadata == {"scale": "100"}
 
@@ -120,6 +120,71 @@ def test_reader(spark, store):
         reader.trades("", WALL, WALL - 1)
 
 
+def test_live_backfilled_and_streamed_trades_lie_together(spark, tmp_path):
+    """All three writers, one dataset: read as one, pruned by date, one copy of each trade."""
+    from tidemark.streaming import ingest as S
+
+    out = str(tmp_path / "out")
+    day = 86_400_000_000_000
+    at = lambda i, w: trade(i) | {"ts_wall": w}
+    write_raw(tmp_path / "raw", "2024-01-01", "00", [json.dumps(at(1, WALL + 1)), json.dumps(at(2, WALL + 2))])
+    assert I.Compactor(spark, str(tmp_path / "raw"), out).run().reconciled
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more/a.ndjson").write_text("\n".join(json.dumps(at(i, WALL + day + i)) for i in (3, 4)))
+    S.ingest(spark, str(tmp_path / "more"), out, str(tmp_path / "check")).awaitTermination()
+    page = [(f"t{i}", "2024-01-02T00:00:00.5Z" if i > 2 else "2024-01-01T00:00:00.5Z", f"AB-{i}", "0.5", "0.5", "1.00", "yes", None, None, None, 7) for i in (2, 3, 5)]
+    names = "trade_id string, created_time string, ticker string, yes_price_dollars string, no_price_dollars string, count_fp string, taker_side string, taker_outcome_side string, taker_book_side string, is_block_trade boolean, page int"
+    rows = spark.createDataFrame(page, names)
+    B.write_pages(B.trade_rows(rows).withColumn("page", F.lit(7)), out)
+    reader = Reader(spark, out)
+    found = reader.trades("", WALL, WALL + 2 * day).dataframe()
+    assert sorted((r.trade_id, r.source) for r in found.collect()) == [("t1", "live"), ("t2", "live"), ("t3", "live"), ("t4", "live"), ("t5", "backfill")]
+    assert reader.trades("", WALL, WALL + 2 * day, raw=True).dataframe().count() == 7
+    assert {r.part.split("_")[0] for r in reader.table("trade").collect()} == {"00", "stream", "backfill"}
+    assert reader.table("trade", "backfill_").count() == 3
+    plan = reader.trades("", WALL, WALL + 5).explain()
+    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(ts_wall)" in plan
+    assert reader.trades("", WALL, WALL + 5).dataframe().count() == 2
+
+
+def test_files_of_other_writers(spark, tmp_path):
+    """Hour files and pages that lie in the date's folder itself, with scales in Arrow metadata only."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    schema = pa.schema([pa.field("ts_wall", pa.int64()), pa.field("ts_ns", pa.int64()), pa.field("market_ticker", pa.string()), *[pa.field(c, pa.int64(), metadata={"scale": "10000" if "dollars" in c else "100"}) for c in ("price_dollars", "yes_bid_dollars", "yes_ask_dollars", "yes_bid_size_fp", "yes_ask_size_fp", "last_trade_size_fp", "volume_fp", "open_interest_fp")]])
+    folder = tmp_path / "type=ticker/date=2024-01-01"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table([[WALL], [1], ["m"], *[[i] for i in range(8)]], schema=schema), folder / "00.parquet")
+    reader = Reader(spark, str(tmp_path))
+    assert str(reader.price_series("m", WALL, WALL).frame()["yes_bid"][0]) == "0.0001"
+    assert [r.part for r in reader.table("ticker").collect()] == ["00"]
+
+
+def test_lost_lines_are_not_reconciled(spark, tmp_path, monkeypatch):
+    write_raw(tmp_path / "raw", "2024-01-01", "00", [json.dumps(trade(i)) for i in range(4)])
+    compactor = I.Compactor(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    whole = I.write_parts
+    monkeypatch.setattr(I, "write_parts", lambda rows, root, name: whole(rows.limit(3), root, name))
+    result = compactor.run()
+    assert not result.reconciled and result.files[0]["n_trade"] == 3 and compactor.manifest().count() == 0 and result.summary["mismatched"] == 1
+    monkeypatch.setattr(I, "write_parts", whole)
+    result = compactor.run()
+    assert result.reconciled and result.summary["rows"] == 4 and result.summary["output_bytes"] > 0 and compactor.manifest().count() == 1
+
+
+def test_plain_files_that_would_be_split(spark, tmp_path):
+    (tmp_path / "2024-01-01").mkdir()
+    (tmp_path / "2024-01-01/00.ndjson").write_text("x\n" * 1000)
+    assert raw_lines(spark, str(tmp_path)).agg(F.max("line_number")).first()[0] == 1000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        with pytest.raises(ValueError):
+            raw_lines(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_reader_without_data(spark, tmp_path):
     reader = Reader(spark, str(tmp_path))
     assert reader.trades("", WALL, WALL + 1).frame().empty
@@ -158,7 +223,7 @@ def test_discovery(spark, store):
 def test_retention(spark, store):
     raw, out, compactor = store
     compactor.run()
-    files, outputs = raw_files(spark, str(raw)), spark.createDataFrame([("trade", "2024-01-01", "00"), ("ticker", "2024-01-01", "00")], "type string, date string, hour string")
+    files, outputs = raw_files(spark, str(raw)), spark.createDataFrame([("trade", "2024-01-01", "00"), ("ticker", "2024-01-01", "00")], "type string, date string, part string")
     found = {r.hour: r for r in retention.assess(files, compactor.manifest(), outputs, datetime(2024, 1, 20, tzinfo=UTC)).collect()}
     assert found["00"].reasons == ["outputs missing"] and not found["00"].deletable  # the gap's output isn't named
     assert found["01"].deletable
@@ -193,7 +258,7 @@ def test_cost(spark):
     plans = spark.createDataFrame([("A", 3, 1500), ("B", 1, 10)], "series string, est_tradeable long, est_rows long")
     preview = B.cost_preview(plans, 10.0)
     total = preview.filter("series is null").first()
-    assert (total.est_rows, total.est_bytes, total.est_requests) == (1510, 15100, 4)
+    assert (total.est_rows, total.est_bytes, total.est_requests) == (1510, 15100, 7)  # 3 + 2 and 1 + 1
     assert B.fits(preview, 2 * 10**9, 1.0) and not B.fits(preview, 10**9, 1.0)
     assert B.fallback_mean(spark.createDataFrame([], "mean_count double")).first()[0] == 1.0
 
@@ -211,8 +276,9 @@ def test_backfill_pages(spark, tmp_path):
     assert len(got) == 12 and got[0].ts_wall == WALL + 500_000_000 and got[0].ts_ns is None and got[0].source == "backfill"
     for _ in range(2):  # pulled again, a page replaces itself
         B.write_pages(rows.withColumn("page", F.lit(1)), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 12
-    assert B.stored_bytes(spark.read.parquet(str(tmp_path / "t"))).first().rows == 12
+    stored = Reader(spark, str(tmp_path / "t")).table("trade")
+    assert stored.count() == 12 and stored.filter("part like 'backfill_%'").count() == 12
+    assert B.stored_bytes(spark.read.parquet(str(tmp_path / "t/type=trade"))).first().rows == 12
 
 
 def test_client_retries_and_cursors():

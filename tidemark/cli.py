@@ -52,10 +52,12 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         result = compactor.run(files=files)
         for f in result.files:
-            print(f"{f['path']}: {f['total_lines']} lines, {f['rejects']} refused" + ("" if f["reconciled"] else ", DOESN'T ADD UP"))
+            print(f"{f['path']}: {f['total_lines']} lines, {f['rejects']} refused, {human_bytes(f['size'])} to {human_bytes(f['output_bytes'])}" + ("" if f["reconciled"] else ", DOESN'T ADD UP"))
+        x = result.summary
+        print(f"{x['files']} files, {x['rows']} rows, {x['rejects']} refused ({x['reject_percent']:.4f} %), {human_bytes(x['input_bytes'])} to {human_bytes(x['output_bytes'])} (ratio {x['ratio']:.3f}), {x['mismatched']} don't add up")
         return int(not result.reconciled)
     stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{a.data_dir}/parquet").select("path")
-    outputs = stored.selectExpr("regexp_extract(path, 'type=([^/]+)', 1) AS type", "regexp_extract(path, 'date=([^/]+)', 1) AS date", "regexp_extract(path, 'hour=([^/]+)', 1) AS hour").distinct()
+    outputs = stored.selectExpr("regexp_extract(path, 'type=([^/]+)', 1) AS type", "regexp_extract(path, 'date=([^/]+)', 1) AS date", "regexp_extract(path, 'part=([^/]+)', 1) AS part").distinct()
     assessed = retention.assess(with_partition(raw_files(spark, compactor.raw_root)), compactor.manifest(), outputs, min_age_days=a.min_age_days)
     for path in retention.delete(spark, assessed, dry_run=not a.delete):
         print(("deleted " if a.delete else "would delete ") + path)

@@ -11,6 +11,7 @@ from tidemark.functions.clock import floor_millis, floor_seconds, ns_to_date, ti
 from tidemark.functions.scaled import none_if_empty, parse_scaled
 from tidemark.functions.text import series_of
 from tidemark.plans.datasets import BACKFILL
+from tidemark.sources.store import write_parts
 
 #: Series with fewer stored trades have no mean of their own.
 TRUSTED_TRADES, DEFAULT_MEAN = 100, 1.0
@@ -54,9 +55,8 @@ def page_name(ticker: Column, page: Column) -> Column:
 
 
 def write_pages(rows: DataFrame, root: str) -> None:
-    """Write trades with `page` to (date, page name) partitions; a page pulled again replaces itself."""
-    named = rows.withColumn("page", page_name(F.col("market_ticker"), F.col("page")))
-    named.repartition("date", "page").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "page").parquet(root)
+    """Write trades with `page` below the datasets' root, a part per date and page; a page pulled again replaces itself."""
+    write_parts(rows.withColumn("part", page_name(F.col("market_ticker"), F.col("page"))).drop("page"), root, "trade")
 
 
 def market_meta(markets: DataFrame, discovered_ts_ns: int) -> DataFrame:
@@ -119,7 +119,8 @@ def pages_for(rows: Column) -> Column:
 
 def cost_preview(plans: DataFrame, bytes_per_row: float, requests_s: float = DEFAULT_REQUESTS_S) -> DataFrame:
     """Plans (series, est_tradeable, est_rows) with bytes, requests and seconds, per series and in all (series NULL)."""
-    priced = plans.withColumns({"est_bytes": (F.col("est_rows") * bytes_per_row).cast("long"), "est_requests": F.greatest(pages_for(F.col("est_rows")), F.col("est_tradeable"))})
+    # a request for each market, and one for each page of rows
+    priced = plans.withColumns({"est_bytes": (F.col("est_rows") * bytes_per_row).cast("long"), "est_requests": F.col("est_tradeable") + pages_for(F.col("est_rows"))})
     total = priced.rollup("series").agg(*[F.sum(c).alias(c) for c in ("est_tradeable", "est_rows", "est_bytes", "est_requests")])
     return total.withColumn("est_seconds", F.col("est_requests") / F.lit(requests_s))
 
@@ -244,7 +245,13 @@ def status_summary(state: DataFrame) -> DataFrame:
     return known.join(counts, "status", "left").select("status", F.coalesce("markets", F.lit(0)).alias("markets"), F.coalesce("trades", F.lit(0)).alias("trades"))
 
 
+def touched(state: DataFrame) -> DataFrame:
+    """Markets that a pull has in view: with a known volume, or not waiting any more."""
+    return state.filter(F.col("volume_fp").isNotNull() | (F.col("status") != STATUSES[0]))
+
+
 def status_by_series(state: DataFrame, series: list[str] | None = None) -> DataFrame:
-    """A row per series with a count of markets for each status."""
+    """A row per series with, for each status, a count of markets (`complete`) and their trades (`complete_trades`)."""
     rows = state if series is None else state.filter(F.col("series").isin(*series))
-    return rows.groupBy("series").pivot("status", list(STATUSES)).agg(F.count(F.lit(1))).na.fill(0)
+    counts = {f"{s}{end}": f for s in STATUSES for end, f in (("", F.count_if(F.col("status") == s)), ("_trades", F.coalesce(F.sum(F.when(F.col("status") == s, F.col("trades"))), F.lit(0))))}
+    return rows.groupBy("series").agg(*[f.alias(n) for n, f in counts.items()])

@@ -24,7 +24,7 @@ def report(trades: DataFrame) -> DataFrame:
 def migrate(spark: SparkSession, source: str, target: str) -> dict[str, int]:
     """Rewrite a trade table to `target`, and check that no row is lost and no sentinel is left."""
     old = spark.read.option("pathGlobFilter", "*.parquet").parquet(source)
-    with_source(old).write.partitionBy(*[c for c in ("date", "hour") if c in old.columns]).parquet(target)
+    with_source(old).write.partitionBy(*[c for c in ("date", "part", "hour") if c in old.columns]).parquet(target)
     before, after = report(old).first(), report(spark.read.parquet(target)).first()
     if before["total_rows"] != after["total_rows"] or after["sentinel_rows"]:
         raise RuntimeError(f"{before['total_rows']} rows became {after['total_rows']}, {after['sentinel_rows']} of them with the sentinel")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -14,6 +15,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.clock import TimeArg, ns_to_timestamp, to_ns, utc_date
 from tidemark.functions.scaled import unscale
 from tidemark.plans.datasets import BACKFILL, DATASETS, LIVE
+from tidemark.sources.store import files_below, folder_of
 
 BATCH_ROWS = 65_536
 
@@ -149,7 +151,7 @@ class QueryResult:
 
 
 class Reader:
-    """Queries over `<root>/type=<dataset>/date=<date>/...`; times are inclusive at both ends."""
+    """Queries over `<root>/type=<dataset>/date=<date>/part=<part>`, whoever wrote the parts; times are inclusive at both ends."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -164,22 +166,20 @@ class Reader:
         self.close()
 
     def _has_files(self, dataset: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/type={dataset}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        files = fs.listFiles(path, True) if fs.exists(path) else None
-        while files is not None and files.hasNext():
-            if files.next().getPath().getName().endswith(".parquet"):
-                return True
-        return False
-
-    def table(self, dataset: str) -> DataFrame:
-        """A dataset's rows with the partition column `date`; temporary files of writers are left out."""
+        return bool(files_below(self.spark, folder_of(self.root, dataset), ".parquet"))
+
+    def table(self, dataset: str, parts: str | None = None) -> DataFrame:
+        """A dataset's rows with `date` and `part`, of all writers or of parts whose name starts as given; temporary files of writers are left out."""
         schema = DATASETS[dataset].schema
         if not self._has_files(dataset):
-            return self.spark.createDataFrame([], StructType([*schema, *StructType.fromDDL("date date")]))
-        rows = self.spark.read.option("basePath", f"{self.root}/type={dataset}").option("pathGlobFilter", "*.parquet").parquet(f"{self.root}/type={dataset}")
-        return rows if "date" in rows.columns else rows.withColumn("date", F.to_date(ns_to_timestamp(F.col("ts_wall"))))
+            return self.spark.createDataFrame([], StructType([*schema, *StructType.fromDDL("date date, part string")]))
+        rows = self.spark.read.option("basePath", folder_of(self.root, dataset)).option("pathGlobFilter", "*.parquet").parquet(folder_of(self.root, dataset))
+        if "date" not in rows.columns:
+            rows = rows.withColumn("date", F.to_date(ns_to_timestamp(F.col("ts_wall"))))
+        # files of other writers lie in the date's folder itself: their names stand for parts
+        part = F.col("part").cast("string") if "part" in rows.columns else F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet$", 1)
+        rows = rows.withColumn("part", part)
+        return rows if parts is None else rows.filter(F.col("part").startswith(parts))
 
     def _scales(self, dataset: str, rows: DataFrame) -> dict[str, int]:
         """Scales by column: what the stored columns say, or the Arrow metadata of files that another writer made."""
@@ -236,11 +236,20 @@ def _window(start: TimeArg, end: TimeArg) -> tuple[int, int]:
 
 
 def foreign_scales(rows: DataFrame) -> dict[str, int]:
-    """Scales in the Arrow schema of one file's footer, for files on a path that this machine can open."""
-    import pyarrow.parquet as pq
+    """Scales in the Arrow schema that other writers leave in a file's footer, read through Spark's file system."""
+    import pyarrow as pa
 
     files = sorted(rows.inputFiles())
-    if not files or not files[0].startswith("file:"):
+    if not files:
+        return {}
+    spark = rows.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(files[0]), conf))
+    try:
+        stored = reader.getFooter().getFileMetaData().getKeyValueMetaData().get("ARROW:schema")
+    finally:
+        reader.close()
+    if not stored:
         return {}
-    schema = pq.read_schema(files[0].removeprefix("file://"))
+    schema = pa.ipc.read_schema(pa.py_buffer(base64.b64decode(stored)))
     return {f.name: int(f.metadata[b"scale"]) for f in schema if f.metadata and b"scale" in f.metadata}

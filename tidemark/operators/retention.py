@@ -22,9 +22,9 @@ def expected_outputs(manifest: DataFrame) -> DataFrame:
 
 
 def missing_outputs(files: DataFrame, manifest: DataFrame, outputs: DataFrame) -> DataFrame:
-    """(path, type) whose output (type, date, hour) isn't among `outputs`."""
-    wanted = expected_outputs(manifest).join(files.select("path", "date", "hour"), "path")
-    return wanted.join(outputs.select("type", "date", "hour").distinct(), ["type", "date", "hour"], "left_anti").select("path", "type")
+    """(path, type) whose output (type, date, part) isn't among `outputs`."""
+    wanted = expected_outputs(manifest).join(files.select("path", "date", "part"), "path")
+    return wanted.join(outputs.select("type", "date", "part").distinct(), ["type", "date", "part"], "left_anti").select("path", "type")
 
 
 def assess(files: DataFrame, manifest: DataFrame, outputs: DataFrame, now: datetime | None = None, min_age_days: float = MIN_AGE_DAYS) -> DataFrame:

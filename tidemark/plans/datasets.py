@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+#: Every writer stores `type=<dataset>/date=<date>/part=<part>`; a part (an hour file, a pulled page, a stream's batch) is replaced as a whole.
+LAYOUT = ("date", "part")
 # Fixed values of the stored format: scales, provenance, and the fields in their stored order.
 USD_DECIMALS, QUANTITY_DECIMALS = 4, 2
 LIVE, BACKFILL = "live", "backfill"

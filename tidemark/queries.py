@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import ns_to_date, ns_to_hour, timestamp_to_ns, to_ns
@@ -17,7 +17,8 @@ from tidemark.operators import reader as R
 from tidemark.operators import retention as T
 from tidemark.operators.migrate import with_source
 from tidemark.session import prepare
-from tidemark.sources.raw import completed, with_partition
+from tidemark.sources.raw import LAYOUT, completed, land, raw_files, raw_lines, with_partition
+from tidemark.sources.store import exists, scratch, write_parts
 from tidemark.streaming import ingest as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,9 +44,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # --- views over `events` --------------------------------------------------------------------
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as quotes: the stored columns that the queries read."""
+def ticks(spark: SparkSession, sf_dir: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """Events as quotes: the stored columns that the queries read. Bounds (epoch ns) go to the scan."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if low is not None:
+        moment = lambda ns: F.lit(datetime.fromtimestamp(ns // 10**9, UTC).replace(tzinfo=None))
+        e = e.filter(F.col("ts").between(moment(low).cast("timestamp_ntz"), moment(high).cast("timestamp_ntz")))
     k = F.get_json_object("props", "$.k").cast("bigint")
     return e.select(
         F.col("event_id").alias("ts_ns"),
@@ -56,25 +60,17 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as trades: live ones, backfilled ones, and some in both copies."""
-    t = ticks(spark, sf_dir).select(F.col("ts_ns").alias("trade_id"), "market_ticker", F.col("price_dollars").alias("yes_price_dollars"), F.col("volume_fp").alias("count_fp"), "ts_wall")
+def trades(spark: SparkSession, sf_dir: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """Events as trades: live ones, backfilled ones (stamped 0.2 s earlier), and some in both copies."""
+    t = ticks(spark, sf_dir, low, high and high + 10**9).select(F.col("ts_ns").alias("trade_id"), "market_ticker", F.col("price_dollars").alias("yes_price_dollars"), F.col("volume_fp").alias("count_fp"), "ts_wall")
     live = t.filter("trade_id % 10 < 7").withColumns({"ts_ns": F.col("trade_id"), "source": F.lit("live")})
     pulled = t.filter("trade_id % 10 >= 4").withColumns({"ts_wall": F.col("ts_wall") - 200_000_000, "ts_ns": F.lit(None).cast("bigint"), "source": F.lit("backfill")})
     return live.unionByName(pulled)
 
 
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silences of over half an hour between events, found hour by hour: each hour's ends meet those of the hours beside it."""
-    t = ticks(spark, sf_dir).select("ts_wall", F.expr("ts_wall div 3600000000000").alias("h"))
-    from pyspark.sql import Window
-
-    within = t.withColumn("before", F.lag("ts_wall").over(Window.partitionBy("h").orderBy("ts_wall")))
-    inner = within.filter(F.col("ts_wall") - F.col("before") > 1_800_000_000_000).select(F.col("before").alias("gap_start_wall"), F.col("ts_wall").alias("gap_end_wall"))
-    # one row per hour is left: few enough for one window
-    hours = t.groupBy("h").agg(F.min("ts_wall").alias("a"), F.max("ts_wall").alias("b"))
-    across = hours.withColumn("before", F.lag("b").over(Window.orderBy("h"))).filter(F.col("a") - F.col("before") > 1_800_000_000_000).select(F.col("before").alias("gap_start_wall"), F.col("a").alias("gap_end_wall"))
-    return inner.unionByName(across)
+    """Silences of over half an hour between events."""
+    return S.silences(ticks(spark, sf_dir).select("ts_wall"), 1_800_000_000_000)
 
 
 _TICKS = """e AS (SELECT event_id, upper(event_type) || '-' || CAST(user_id AS VARCHAR) AS market_ticker, CAST(round(value * 10000) AS BIGINT) AS price_s,
@@ -93,7 +89,7 @@ _SCALES = {"yes_price_dollars": 10_000, "count_fp": 100, "price_dollars": 10_000
 
 
 def _trades(spark: SparkSession, sf_dir: str, prefix: str, source: str | None = None, raw: bool = False) -> DataFrame:
-    rows = trades(spark, sf_dir).filter(F.col("ts_wall").between(LOW, HIGH) & F.col("market_ticker").startswith(prefix))
+    rows = trades(spark, sf_dir, LOW, HIGH).filter(F.col("ts_wall").between(LOW, HIGH) & F.col("market_ticker").startswith(prefix))
     rows = rows.filter(F.col("source") == source) if source else rows
     return R.project(R.in_time_order(rows if raw else R.dedup_trades(rows)), _SHOWN, _SCALES)
 
@@ -125,13 +121,13 @@ def trades_backfill(spark, sf_dir):
 
 @query("price_series", f"WITH {_TICKS} SELECT w AS ts_wall, event_id AS ts_ns, market_ticker, {_PRICE} AS price, {_COUNT} AS volume FROM e WHERE w BETWEEN {LOW} AND {HIGH} AND market_ticker = 'CLICK-7'")
 def price_series(spark, sf_dir):
-    rows = ticks(spark, sf_dir).filter(F.col("ts_wall").between(LOW, HIGH) & (F.col("market_ticker") == "CLICK-7"))
+    rows = ticks(spark, sf_dir, LOW, HIGH).filter(F.col("ts_wall").between(LOW, HIGH) & (F.col("market_ticker") == "CLICK-7"))
     return R.project(R.in_time_order(rows), [R.Out("ts_wall", "ts_wall"), R.Out("ts_ns", "ts_ns"), R.Out("market_ticker", "market_ticker"), R.Out("price", "price_dollars", "decimal"), R.Out("volume", "volume_fp", "decimal")], _SCALES)
 
 
 @query("list_tickers", f"WITH {_TICKS} SELECT DISTINCT market_ticker FROM e WHERE w BETWEEN {LOW} AND {HIGH}")
 def list_tickers(spark, sf_dir):
-    return ticks(spark, sf_dir).filter(F.col("ts_wall").between(LOW, HIGH)).select("market_ticker").distinct().orderBy("market_ticker")
+    return ticks(spark, sf_dir, LOW, HIGH).filter(F.col("ts_wall").between(LOW, HIGH)).select("market_ticker").distinct().orderBy("market_ticker")
 
 
 @query("list_tickers_prefix", f"WITH {_TICKS} SELECT DISTINCT market_ticker FROM e WHERE w BETWEEN {LOW} AND {HIGH} AND starts_with(market_ticker, 'PUR')")
@@ -187,7 +183,23 @@ _OUTCOMES = ["trade", "ticker", "subscribed", "gap", "bad_outer_json", "bad_oute
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log line per event, of twelve forms in turn."""
+    """A log line per event, of twelve forms in turn, from a table that is written once."""
+    return spark.read.parquet(_once(spark, sf_dir, "lines", lambda root: _log_lines(spark, sf_dir).write.parquet(root)))
+
+
+_MADE: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], object]) -> str:
+    """The folder of a store that `make` fills, once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MADE or not exists(spark, _MADE[key]):
+        _MADE[key] = scratch(spark)
+        make(_MADE[key])
+    return _MADE[key]
+
+
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "user_id", "value", timestamp_to_ns(F.col("ts")).alias("w"))
     two, four = (lambda c, d=d: F.format_string(f"%.{d}f", c) for d in (2, 4))
     msg_trade = F.to_json(F.struct(F.lit("trade").alias("type"), F.lit(1).alias("sid"), F.col("event_id").alias("seq"), F.struct(
@@ -231,7 +243,127 @@ def typed_trades(spark, sf_dir):
     " count(*) FILTER (event_id % 12 = 2) AS n_subscribed, count(*) FILTER (event_id % 12 = 3) AS n_gap, count(*) FILTER (event_id % 12 >= 4) AS rejects, true AS reconciled FROM events GROUP BY 1",
 )
 def reconcile(spark, sf_dir):
-    return I.reconcile(I.classify(log_lines(spark, sf_dir)))
+    raw, out = _log_store(spark, sf_dir)
+    lines = I.line_counts(raw_lines(spark, raw))
+    todo = [r.asDict() for r in raw_files(spark, raw).collect()]  # 24 files
+    found = I.reconcile(lines, I.Compactor(spark, raw, out).stored(todo))
+    return found.withColumn("path", _log_path(F.col("path")))
+
+
+def _log_store(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Raw files of the log lines, and where they are compacted to."""
+
+    def make(root: str) -> None:
+        lines = log_lines(spark, sf_dir).select(F.lit("2024-01-01").alias("date"), F.regexp_extract("path", LAYOUT, 3).alias("hour"), "line", F.col("event_id").alias("at"))
+        land(lines, f"{root}/raw")
+        I.Compactor(spark, f"{root}/raw", f"{root}/out").run()
+
+    root = _once(spark, sf_dir, "logs", make)
+    return f"{root}/raw", f"{root}/out"
+
+
+def _log_path(path: Column) -> Column:
+    return F.regexp_replace(path, r"^.*/raw/(.*)\.gz$", "raw/$1.zst")
+
+
+_LOG_SQL = f"""l AS (SELECT 'raw/2024-01-01/' || lpad(CAST(user_id % 24 AS VARCHAR), 2, '0') || '.ndjson.zst' AS path, event_id,
+    row_number() OVER (PARTITION BY user_id % 24 ORDER BY event_id) AS line_number, {_OUTCOME_SQL} AS outcome FROM events)"""
+
+
+@query("stored_rejects", f"WITH {_LOG_SQL} SELECT path, line_number, outcome AS reason FROM l WHERE event_id % 12 >= 4")
+def stored_rejects(spark, sf_dir):
+    rows = spark.read.schema("source string, line_number long, reason string").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(f"{_log_store(spark, sf_dir)[1]}/rejects")
+    return rows.select(_log_path(F.col("source")).alias("path"), "line_number", "reason")
+
+
+@query(
+    "stored_manifest",
+    f"WITH {_LOG_SQL} SELECT path, count(*) AS total_lines, count(*) FILTER (outcome = 'trade') AS trades, count(*) FILTER (outcome = 'gap') AS gaps, count(*) FILTER (event_id % 12 >= 4) AS rejects FROM l GROUP BY path",
+)
+def stored_manifest(spark, sf_dir):
+    m = I.Compactor(spark, *_log_store(spark, sf_dir)).manifest()
+    return m.select(_log_path(F.col("path")).alias("path"), "total_lines", F.col("rows_by_type")["trade"].alias("trades"), F.col("rows_by_type")["gap"].alias("gaps"), "rejects")
+
+
+# --- stored partitions: compacted, streamed and pulled trades, read as one --------------------
+
+_SPLIT = "2024-01-15"
+
+
+def market_store(spark: SparkSession, sf_dir: str) -> str:
+    """A store of the events: live messages compacted (to the middle of the month) or streamed (after it), and backfilled trades as pages."""
+
+    def make(root: str) -> None:
+        e = spark.read.parquet(f"{sf_dir}/events.parquet")
+        k = F.get_json_object("props", "$.k")
+        t = e.select("event_id", timestamp_to_ns(F.col("ts")).alias("w"), F.concat(F.upper("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("market_ticker"), F.format_string("%.4f", F.col("value")).alias("price"), F.concat(k, F.lit(".00")).alias("count"))
+        one = F.lit("1.00")
+        tick = F.struct("market_ticker", F.lit("m").alias("market_id"), *[F.col("price").alias(c) for c in ("price_dollars", "yes_bid_dollars", "yes_ask_dollars")], *[one.alias(c) for c in ("yes_bid_size_fp", "yes_ask_size_fp", "last_trade_size_fp")],
+                        F.col("count").alias("volume_fp"), one.alias("open_interest_fp"), *[F.lit(1).alias(c) for c in ("dollar_volume", "dollar_open_interest", "ts", "ts_ms")], F.lit("t").alias("time"))
+        trade = F.struct(F.col("event_id").cast("string").alias("trade_id"), "market_ticker", F.col("price").alias("yes_price_dollars"), F.lit("0.5").alias("no_price_dollars"), F.col("count").alias("count_fp"),
+                         *[F.lit("yes").alias(c) for c in ("taker_side", "taker_outcome_side", "taker_book_side")], F.lit(False).alias("is_block_trade"), F.lit(1).alias("ts"), F.lit(1000).alias("ts_ms"))
+        clock = [F.col("event_id").alias("ts_ns"), F.col("w").alias("ts_wall")]
+        sent = lambda kind, seq, msg: F.to_json(F.struct(*clock, F.to_json(F.struct(F.lit(kind).alias("type"), F.lit(1).alias("sid"), *seq, msg.alias("msg"))).alias("raw")))
+        live = t.select("w", sent("ticker", [], tick).alias("line")).unionByName(t.filter("event_id % 10 < 7").select("w", sent("trade", [F.col("event_id").alias("seq")], trade).alias("line")))
+        ends = [F.lit(i).alias(c) if c.endswith("_ns") else F.col(c) for i, c in enumerate(("gap_start_ns", "gap_start_wall", "gap_end_ns", "gap_end_wall"))]
+        marks = gaps(spark, sf_dir).select(F.col("gap_end_wall").alias("w"), F.to_json(F.struct(F.lit(1).alias("ts_ns"), F.col("gap_end_wall").alias("ts_wall"), F.lit("gap").alias("marker"), *ends)).alias("line"))
+        lines = live.unionByName(marks).select(ns_to_date(F.col("w")).cast("string").alias("date"), F.lit("00").alias("hour"), "line", F.col("w").alias("at"))  # a file per day
+        land(lines.filter(F.col("date") < _SPLIT), f"{root}/raw")
+        I.Compactor(spark, f"{root}/raw", f"{root}/out").run()
+        land(lines.filter(F.col("date") >= _SPLIT), f"{root}/late")
+        S.ingest(spark, f"{root}/late", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        pulled = t.filter("event_id % 10 >= 4").withColumn("w", F.col("w") - 200_000_000)
+        iso = F.concat(F.date_format(F.timestamp_micros(F.expr("w div 1000")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+        page = pulled.select(iso.alias("created_time"), F.col("event_id").alias("trade_id"), F.col("market_ticker").alias("ticker"), F.col("price").alias("yes_price_dollars"), F.lit("0.5").alias("no_price_dollars"), F.col("count").alias("count_fp"),
+                             *[F.lit("yes").alias(c) for c in ("taker_side", "taker_outcome_side", "taker_book_side")], F.lit(None).cast("boolean").alias("is_block_trade"))
+        rows = B.trade_rows(page)
+        write_parts(rows.withColumn("part", B.page_name(series_of(F.col("market_ticker")), F.lit(0))), f"{root}/out", "trade")
+
+    return f"{_once(spark, sf_dir, 'market', make)}/out"
+
+
+def _reader(spark: SparkSession, sf_dir: str) -> R.Reader:
+    return R.Reader(spark, market_store(spark, sf_dir))
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    """Trades of the reader with their time as a number."""
+    return rows.select("trade_id", "market_ticker", "yes_price", "count", F.unix_micros("ts_wall").alias("ts_us"), "ts_ns", "source")
+
+
+_STORED_OUT = f"SELECT CAST(trade_id AS VARCHAR) AS trade_id, market_ticker, {_PRICE} AS yes_price, {_COUNT} AS count, ts_wall // 1000 AS ts_us, ts_ns, source FROM t"
+
+
+@query("stored_trades", f"WITH {_TRADES} {_STORED_OUT} WHERE {_IN} AND starts_with(market_ticker, 'C') {_FIRST}")
+def stored_trades(spark, sf_dir):
+    return _shown(_reader(spark, sf_dir).trades("C", START, END).dataframe(allow_gaps=True))
+
+
+@query("stored_trades_raw", f"WITH {_TRADES} {_STORED_OUT} WHERE {_IN}")
+def stored_trades_raw(spark, sf_dir):
+    return _shown(_reader(spark, sf_dir).trades("", START, END, raw=True).dataframe(allow_gaps=True))
+
+
+@query("stored_backfill", f"WITH {_TRADES} SELECT source, strftime(make_timestamp_ns(ts_wall), '%Y-%m-%d') AS date, count(*) AS n, CAST(sum(qty_fp) AS BIGINT) AS count_fp FROM t WHERE source = 'backfill' GROUP BY ALL")
+def stored_backfill(spark, sf_dir):
+    rows = _reader(spark, sf_dir).table("trade", "backfill_")
+    return rows.groupBy("source", F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.sum("count_fp").alias("count_fp"))
+
+
+@query("stored_prices", f"WITH {_TICKS} SELECT w // 1000 AS ts_us, event_id AS ts_ns, market_ticker, {_PRICE} AS price, {_COUNT} AS volume FROM e WHERE w BETWEEN {LOW} AND {HIGH} AND market_ticker = 'CLICK-7'")
+def stored_prices(spark, sf_dir):
+    rows = _reader(spark, sf_dir).price_series("CLICK-7", START, END).dataframe(allow_gaps=True)
+    return rows.select(F.unix_micros("ts_wall").alias("ts_us"), "ts_ns", "market_ticker", "price", "volume")
+
+
+@query("stored_tickers", f"WITH {_TICKS} SELECT DISTINCT market_ticker FROM e WHERE w BETWEEN {LOW} AND {HIGH} AND starts_with(market_ticker, 'PUR')")
+def stored_tickers(spark, sf_dir):
+    return _reader(spark, sf_dir).list_tickers(START, END, "PUR").dataframe(allow_gaps=True)
+
+
+@query("stored_coverage", f"WITH {_GAPS} SELECT gap_start_wall, gap_end_wall FROM g WHERE gap_start_wall <= {HIGH} AND gap_end_wall >= {LOW}")
+def stored_coverage(spark, sf_dir):
+    return _reader(spark, sf_dir).coverage(START, END).gaps.select("gap_start_wall", "gap_end_wall")
 
 
 # --- files, manifest, retention: orders stand in for raw files, line items for outputs -------
@@ -257,7 +389,7 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _files(spark, sf_dir).filter("k <> 4").select(F.lit("trade").alias("type"), "date", "hour")
+    return _files(spark, sf_dir).filter("k <> 4").select(F.lit("trade").alias("type"), "date", "part")
 
 
 @query("pending_files", f"WITH {_FILES_SQL}, {_MANIFEST_SQL} SELECT path, size FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.path = f.path AND m.size = f.size AND m.mtime_ns = f.mtime_ns)")
@@ -339,11 +471,15 @@ def census_topn(spark, sf_dir):
 
 
 def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = B.with_mean(B.top_series(_census(spark, sf_dir), 25, ["ECO"]), spark.createDataFrame([], "series string, mean_count double"), F.lit(4.0))
+    """All series of the census with tradeable markets."""
+    rows = B.with_mean(B.top_series(_census(spark, sf_dir), 0, []), spark.createDataFrame([], "series string, mean_count double"), F.lit(4.0))
     return rows.withColumn("est_rows", B.est_rows_of_series())
 
 
-@query("est_rows", f"WITH {_TOP_SQL} SELECT series, CAST(round_even(est_tradeable * mean_vol / 4.0, 0) AS BIGINT) AS est_rows FROM top")
+_PLANS_SQL = f"{_CENSUS_SQL}, plans AS (SELECT series, est_tradeable, CAST(round_even(est_tradeable * mean_vol / 4.0, 0) AS BIGINT) AS est_rows FROM c WHERE est_tradeable > 0)"
+
+
+@query("est_rows", f"WITH {_PLANS_SQL} SELECT series, est_rows FROM plans")
 def est_rows(spark, sf_dir):
     return _plans(spark, sf_dir).select("series", "est_rows")
 
@@ -355,8 +491,8 @@ def market_rows(spark, sf_dir):
 
 @query(
     "cost_rollup",
-    f"""WITH {_TOP_SQL}, p AS (SELECT series, est_tradeable, CAST(round_even(est_tradeable * mean_vol / 4.0, 0) AS BIGINT) AS est_rows FROM top),
-    q AS (SELECT *, est_rows * 40 AS est_bytes, greatest(CAST(ceil(est_rows / 1000.0) AS BIGINT), est_tradeable) AS est_requests FROM p)
+    f"""WITH {_PLANS_SQL},
+    q AS (SELECT *, est_rows * 40 AS est_bytes, est_tradeable + CAST(ceil(est_rows / 1000.0) AS BIGINT) AS est_requests FROM plans)
     SELECT series, CAST(sum(est_tradeable) AS BIGINT) AS est_tradeable, CAST(sum(est_rows) AS BIGINT) AS est_rows, CAST(sum(est_bytes) AS BIGINT) AS est_bytes, CAST(sum(est_requests) AS BIGINT) AS est_requests FROM q GROUP BY ROLLUP (series)""",
 )
 def cost_rollup(spark, sf_dir):
@@ -406,7 +542,12 @@ def status_summary(spark, sf_dir):
 
 @query("status_by_series", f"WITH {_STATE_SQL} SELECT series, " + ", ".join(f"count(*) FILTER (status = '{s}') AS {s}" for s in B.STATUSES) + " FROM st GROUP BY series")
 def status_by_series(spark, sf_dir):
-    return B.status_by_series(_state(spark, sf_dir))
+    return B.status_by_series(_state(spark, sf_dir)).select("series", *B.STATUSES)
+
+
+@query("status_trades_by_series", f"WITH {_STATE_SQL} SELECT series, " + ", ".join(f"CAST(coalesce(sum(trades) FILTER (status = '{s}'), 0) AS BIGINT) AS {s}_trades" for s in B.STATUSES) + " FROM st WHERE volume_fp IS NOT NULL OR status <> 'not_started' GROUP BY series")
+def status_trades_by_series(spark, sf_dir):
+    return B.status_by_series(B.touched(_state(spark, sf_dir))).select("series", *[f"{s}_trades" for s in B.STATUSES])
 
 
 @query("to_pull_prefix", f"WITH {_STATE_SQL} SELECT ticker FROM st WHERE status IN ('not_started', 'in_progress') AND ticker ILIKE 'auto%'")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.clock import ns_to_date, ns_to_hour, ns_to_timestamp
 from tidemark.operators.ingest import classify, rows_of
 from tidemark.plans.datasets import DATASETS
+from tidemark.sources.raw import land
+from tidemark.sources.store import write_parts
 
 
 def hourly(messages: DataFrame) -> DataFrame:
@@ -30,10 +32,21 @@ def wanted(messages: DataFrame, prefixes: list[str]) -> DataFrame:
     return messages.filter(ticker_of(F.col("raw")).isNull() | hit)
 
 
+def log_line(messages: DataFrame) -> Column:
+    """The line that a row of the feed leaves in a raw file: a message with its clocks, or a gap marker."""
+    gap = ["gap_start_ns", "gap_start_wall", "gap_end_ns", "gap_end_wall"]
+    known = [c for c in ("ts_ns", "ts_wall", "raw", "marker", *gap) if c in messages.columns]
+    return F.to_json(F.struct(*known))  # without what is NULL
+
+
 def write_raw(messages: DataFrame, folder: str, checkpoint: str, prefixes: list[str] | None = None, **trigger: object) -> StreamingQuery:
-    """Append messages to `<folder>/date=/hour=` (Parquet with zstd, as Spark's text sink has no zstd)."""
-    out = hourly(wanted(messages, prefixes or []))
-    return out.writeStream.format("parquet").partitionBy("date", "hour").option("path", folder).option("checkpointLocation", checkpoint).option("compression", "zstd").trigger(**(trigger or {"availableNow": True})).start()
+    """Land messages as `<folder>/<date>/<hour>-<batch>.ndjson.gz`, as compaction reads them; a batch that runs again replaces its own files."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = hourly(wanted(batch, prefixes or []))
+        land(rows.select(F.col("date").cast("string").alias("date"), "hour", log_line(batch).alias("line"), F.col("ts_wall").alias("at")), folder, f"{number:08d}")
+
+    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def lines_stream(spark: SparkSession, folder: str, max_files: int = 100) -> DataFrame:
@@ -43,15 +56,15 @@ def lines_stream(spark: SparkSession, folder: str, max_files: int = 100) -> Data
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Classify new raw files and append each dataset; a batch that runs again replaces its own part (`batch=`)."""
+    """Classify new raw files and store each dataset's rows in a part per batch; a batch that runs again replaces its own part."""
 
     def write(batch: DataFrame, number: int) -> None:
         rows = classify(batch).persist()
         try:
             for d in DATASETS.values():
-                part = rows_of(rows, d).withColumn("date", ns_to_date(F.col("ts_wall"))).withColumn("batch", F.lit(number))
-                part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(f"{out}/type={d.name}")
-            rows.filter("reason is not null").select("path", "reason", "line").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(f"{out}/rejects")
+                part = F.lit(f"stream_{number:08d}")
+                write_parts(rows_of(rows, d).withColumns({"date": ns_to_date(F.col("ts_wall")), "part": part}), out, d.name)
+            rows.filter("reason is not null").select("path", "reason", "line").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(f"{out}/stream_rejects")
         finally:
             rows.unpersist()
 
@@ -71,8 +84,44 @@ def hourly_volume(trades: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return out.select(F.col("window.start").alias("hour"), "market_ticker", "n", "count_fp")
 
 
-def sessions(messages: DataFrame, silence: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Runs of messages with no longer silence between them (an extension): outages lie between the runs."""
+MINUTE, DAY = 60_000_000_000, 86_400_000_000_000
+
+
+def runs(messages: DataFrame, silence_ns: int) -> DataFrame:
+    """(start_wall, end_wall, n): runs of messages (ts_wall) between which nothing came for `silence_ns` (over a minute) or longer.
+
+    A minute holds no silence, so its ends and its count stand for it; they are added up before any shuffle. Runs are found day by day, and the few
+    of each day are joined to those of the days beside it."""
+    if silence_ns <= MINUTE:
+        raise ValueError("a silence of a minute or less may lie within a minute")
+    per = lambda step: F.call_function("div", F.col("ts_wall"), F.lit(step).cast("bigint"))
+    minutes = messages.groupBy(per(DAY).alias("day"), per(MINUTE).alias("minute")).agg(F.min("ts_wall").alias("a"), F.max("ts_wall").alias("b"), F.count("*").alias("n"))
+    return _stitched(_stitched(minutes, silence_ns, "day"), silence_ns).select(F.col("a").alias("start_wall"), F.col("b").alias("end_wall"), "n")
+
+
+def _stitched(rows: DataFrame, silence_ns: int, *by: str) -> DataFrame:
+    """Stretches (a, b, n) that lie closer together than the silence, as one."""
+    order = Window.partitionBy(*by).orderBy("a")
+    fresh = F.coalesce(F.col("a") - F.lag("b").over(order) >= silence_ns, F.lit(True)).cast("int")
+    numbered = rows.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
+    return numbered.groupBy(*by, "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n"))
+
+
+def silences(messages: DataFrame, longer_than_ns: int) -> DataFrame:
+    """(gap_start_wall, gap_end_wall): stretches longer than that between consecutive messages (ts_wall)."""
+    found = runs(messages, longer_than_ns + 1)  # one row per run: few enough for one window
+    before = F.lag("end_wall").over(Window.orderBy("start_wall"))
+    return found.select(before.alias("gap_start_wall"), F.col("start_wall").alias("gap_end_wall")).filter("gap_start_wall is not null")
+
+
+def sessions(messages: DataFrame, silence: str = "30 minutes", delay: str = "10 minutes", key: str | None = None) -> DataFrame:
+    """Runs of messages with no longer silence between them (an extension): outages lie between the runs. With a key, the runs of each; a stream needs one, as all its state would lie in one task."""
+    if messages.isStreaming and key is None:
+        raise ValueError("sessions of a stream need a key")
+    if key is None:
+        length = int(messages.sparkSession.sql(f"SELECT unix_micros(timestamp_seconds(0) + INTERVAL {silence})").first()[0]) * 1000
+        found = runs(messages, length)
+        return found.select(ns_to_timestamp(F.col("start_wall")).alias("start"), ns_to_timestamp(F.col("end_wall") + length).alias("end"), "n")
     rows = messages.withColumn("at", ns_to_timestamp(F.col("ts_wall")))
     rows = rows.withWatermark("at", delay) if messages.isStreaming else rows
-    return rows.groupBy(F.session_window("at", silence)).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
+    return rows.groupBy(F.session_window("at", silence), key).agg(F.count("*").alias("n")).select(key, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
