@@ -1,14 +1,22 @@
-"""Command line: compact, retain, migrate, space."""
+"""Command line: compact, retain, migrate, backfill, space."""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
+from tidemark import config
 from tidemark.functions.text import human_bytes
 from tidemark.operators import ingest, migrate, retention
+from tidemark.operators.backfill import to_pull
+from tidemark.operators.pull import Puller
+from tidemark.operators.state import StateStore
 from tidemark.session import session
+from tidemark.sources.auth import Signer
 from tidemark.sources.raw import completed, raw_files, with_partition
+from tidemark.sources.rest import Transport, http_transport
 from tidemark.streaming.guards import free_gb
 
 
@@ -27,18 +35,89 @@ def parser() -> argparse.ArgumentParser:
     m = sub.add_parser("migrate", help="rewrite trades of the older layout")
     m.add_argument("source")
     m.add_argument("target")
+    b = sub.add_parser("backfill", help="pull history over REST")
+    b.add_argument("data_dir")
+    b.add_argument("--discover", action="store_true", help="enumerate markets that have a history")
+    b.add_argument("--pull", nargs="?", const="", metavar="PREFIX", help="pull the trades of all markets, or of those with a prefix")
+    b.add_argument("--series", metavar="PREFIX", help="the series to discover, and the prefix to pull")
+    b.add_argument("--status", action="store_true", help="say where all pulls stand")
+    b.add_argument("--retry-failed", action="store_true", help="let failed markets wait again, then pull")
+    b.add_argument("--dry-run", action="store_true", help="say what would be done")
+    b.add_argument("--series-from-census", action="store_true", help="discover and pull the top series of the census")
+    b.add_argument("--top-n", type=int, default=0, metavar="N", help="series of the census to take (0: all)")
+    b.add_argument("--exclude", action="append", default=[], metavar="PREFIX", help="series of the census to leave out (repeatable)")
+    b.add_argument("--include-parlay", action="store_true", help="don't leave the combined series out of the census")
+    b.add_argument("--min-volume", type=float, default=0.0, metavar="V", help="least traded contracts of a market")
+    b.add_argument("--parlay-top-n", type=int, metavar="N", help="pull the N combined markets of most volume, and their legs")
+    b.add_argument("--parlay-scan-cap", type=int, default=50, metavar="PAGES", help="pages of each scope that are looked at for that")
+    b.add_argument("--parlay-series", default="", metavar="SERIES", help="the series of combined markets")
+    b.add_argument("--safety-margin-gb", type=float, metavar="GB", help="space that a pull must leave free")
+    b.add_argument("--census-file", default="_census_rows.json", metavar="PATH")
+    b.add_argument("--base-url", metavar="URL", help="the service (or TIDEMARK_BASE_URL)")
     s = sub.add_parser("space", help="exit 1 if less is free")
     s.add_argument("path")
     s.add_argument("least_gb", type=float)
     return p
 
 
+def transport_of(base_url: str | None) -> Transport:
+    """Signed requests to the service, with the key that the environment names."""
+    c = config.load()
+    url = base_url or c.base_url
+    if not url:
+        raise config.ConfigError("not set: TIDEMARK_BASE_URL")
+    signer = Signer(c.key_id, None, pem_path=c.key_file)
+    return http_transport(url, signer.headers)
+
+
+def backfill(a: argparse.Namespace, spark: SparkSession) -> int:
+    """The `backfill` command; 2 if it names nothing to do, 1 if there is nothing to pull from."""
+    wants_pull = a.pull is not None or a.retry_failed
+    if not (a.discover or wants_pull or a.status or a.series_from_census or a.parlay_top_n is not None):
+        parser().parse_args(["backfill", "--help"])
+    prefix = a.series if a.series is not None else a.pull or ""
+    margin = a.safety_margin_gb if a.safety_margin_gb is not None else config.Config.min_free_gb
+    state = StateStore(spark, f"{a.data_dir}/backfill_state")
+    offline = a.dry_run and a.parlay_top_n is None or a.status and not (a.discover or wants_pull or a.series_from_census or a.parlay_top_n is not None)
+    puller = Puller(spark, f"{a.data_dir}/parquet", state, None if offline else transport_of(a.base_url))
+    if not offline:
+        puller.keep_to_limits()
+    if a.status:
+        puller.status()
+    if a.discover:
+        series = [a.series] if a.series else None
+        if a.dry_run:
+            for name, *_ in puller._scopes(series, False):
+                known = state.discovery(name)
+                print(f"would crawl {name} ({'complete' if known and known['done'] else 'pending'})")
+        else:
+            print(f"{puller.discover(series)} markets discovered")
+    if a.retry_failed and not a.dry_run:
+        print(f"{state.reset_failed(prefix)} failed markets wait again")
+    if wants_pull:
+        if not state.count_markets():
+            print("no markets are known; run --discover first", file=sys.stderr)
+            return 1
+        wanted = to_pull(state.table("markets"), prefix=prefix or None)
+        if a.dry_run:
+            print(f"would pull {wanted.count()} markets")
+        else:
+            puller.pull(wanted, f"markets with {prefix!r}" if prefix else "all markets")
+    if a.series_from_census:
+        puller.census(a.census_file, a.top_n, a.exclude, a.min_volume, margin, None if a.include_parlay else a.parlay_series or None, a.dry_run)
+    if a.parlay_top_n is not None:
+        puller.combined(a.parlay_series, a.parlay_top_n, a.parlay_scan_cap, margin, a.dry_run)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     if a.command == "space":
         print(f"{free_gb(a.path):.1f} GB free")
         return int(free_gb(a.path) < a.least_gb)
     spark = session()
+    if a.command == "backfill":
+        return backfill(a, spark)
     if a.command == "migrate":
         print(migrate.migrate(spark, a.source, a.target))
         return 0

@@ -19,6 +19,7 @@ class Config:
     channels: tuple[str, ...] = ("ticker", "trade")
     prefixes: tuple[str, ...] = ()
     min_free_gb: float = 5.0
+    base_url: str = ""
 
     @property
     def raw_dir(self) -> str:
@@ -30,7 +31,7 @@ class Config:
 
 
 def load(env: Mapping[str, str] | None = None) -> Config:
-    """TIDEMARK_DATA_DIR, _KEY_ID and _KEY_FILE must be set; _CHANNELS, _PREFIXES (commas) and _MIN_FREE_GB may be."""
+    """TIDEMARK_DATA_DIR, _KEY_ID and _KEY_FILE must be set; _CHANNELS, _PREFIXES (commas), _MIN_FREE_GB and _BASE_URL may be."""
     env = os.environ if env is None else env
     get = lambda name: env.get(f"TIDEMARK_{name}", "").strip()
     missing = [n for n in ("DATA_DIR", "KEY_ID", "KEY_FILE") if not get(n)]
@@ -41,4 +42,4 @@ def load(env: Mapping[str, str] | None = None) -> Config:
         free = float(get("MIN_FREE_GB") or Config.min_free_gb)
     except ValueError:
         raise ConfigError(f"TIDEMARK_MIN_FREE_GB is no number: {get('MIN_FREE_GB')!r}") from None
-    return Config(get("DATA_DIR"), get("KEY_ID"), get("KEY_FILE"), listed("CHANNELS", Config.channels), listed("PREFIXES", ()), free)
+    return Config(get("DATA_DIR"), get("KEY_ID"), get("KEY_FILE"), listed("CHANNELS", Config.channels), listed("PREFIXES", ()), free, get("BASE_URL").rstrip("/"))

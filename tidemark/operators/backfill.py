@@ -25,7 +25,7 @@ REASON_TEXT = 500
 # --- stored pages ---------------------------------------------------------------------------
 
 
-def trade_rows(pages: DataFrame) -> DataFrame:
+def trade_rows(pages: DataFrame, *keep: str) -> DataFrame:
     """REST trades (a column per JSON field) as stored rows, without a clock of their own; lenient where live rows are strict."""
     ns = timestamp_to_ns(F.to_timestamp("created_time"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -46,6 +46,7 @@ def trade_rows(pages: DataFrame) -> DataFrame:
         floor_millis(F.col("ts_wall")).alias("ts_ms"),
         F.lit(BACKFILL).alias("source"),
         ns_to_date(F.col("ts_wall")).alias("date"),
+        *keep,
     )
 
 
@@ -59,10 +60,10 @@ def write_pages(rows: DataFrame, root: str) -> None:
     write_parts(rows.withColumn("part", page_name(F.col("market_ticker"), F.col("page"))).drop("page"), root, "trade")
 
 
-def market_meta(markets: DataFrame, discovered_ts_ns: int) -> DataFrame:
+def market_meta(markets: DataFrame, discovered_ts_ns: int, *keep: str) -> DataFrame:
     """Metadata rows of markets; empty texts are NULL."""
     optional = ["event_ticker", "market_type", "status", "result", "title", "open_time", "close_time", "expiration_time"]
-    return markets.select("ticker", series_of(F.col("ticker")).alias("series"), *[none_if_empty(F.col(c)).alias(c) for c in optional], F.lit(discovered_ts_ns).cast("long").alias("discovered_ts_ns"))
+    return markets.select("ticker", series_of(F.col("ticker")).alias("series"), *[none_if_empty(F.col(c)).alias(c) for c in optional], F.lit(discovered_ts_ns).cast("long").alias("discovered_ts_ns"), *keep)
 
 
 # --- cost -----------------------------------------------------------------------------------

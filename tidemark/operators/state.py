@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.backfill import DEFAULT_REQUESTS_S, MARKETS, merge_state, record_page, seed, set_failed, status_summary
+from tidemark.operators.backfill import DEFAULT_REQUESTS_S, MARKETS, merge_state, record_page, reset_failed, seed, set_failed, status_summary
 
 DISCOVERY = "scope string, cursor string, pages long, done boolean, updated double"
 META = "key string, value string"
@@ -53,6 +53,14 @@ class StateStore:
     def record_page(self, ticker: str, cursor: str | None, rows: int, last: bool) -> None:
         self.put("markets", record_page(self.table("markets"), ticker, cursor, rows, last, time.time()))
 
+    def reset_failed(self, prefix: str) -> int:
+        """Failed markets of a prefix wait again; returns how many."""
+        before = self.table("markets")
+        after = reset_failed(before, prefix)
+        n = before.filter("status = 'failed'").count() - after.filter("status = 'failed'").count()
+        self.put("markets", after)
+        return n
+
     def set_failed(self, ticker: str, reason: str) -> None:
         self.put("markets", set_failed(self.table("markets"), ticker, reason, time.time()))
 
@@ -79,6 +87,12 @@ class StateStore:
         row = self.table("discovery").filter(F.col("scope") == scope).first()
         return row.asDict() if row else None
 
+    def set_discoveries(self, rows: list[tuple]) -> None:
+        """Many scopes (rows of `DISCOVERY`) in one step."""
+        if rows:
+            new = self.spark.createDataFrame(rows, DISCOVERY)
+            self.put("discovery", self.table("discovery").join(new.select("scope"), "scope", "left_anti").unionByName(new))
+
     def set_discovery(self, scope: str, cursor: str | None, pages: int, done: bool) -> None:
         self._upsert("discovery", "scope", (scope, cursor, pages, done, time.time()))
 

@@ -17,13 +17,19 @@ def load_private_key(pem_path: str) -> Any:
 
 @dataclass
 class Signer:
-    """Headers that prove a key; `prefix` names them."""
+    """Headers that prove a key; `prefix` names them. A key that can't travel to tasks is read where it is used, from `pem_path`."""
 
     key_id: str
     private_key: Any
     prefix: str = "X-ACCESS"
+    pem_path: str | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | ({"private_key": None} if self.pem_path else {})
 
     def headers(self, method: str, path: str) -> dict[str, str]:
+        if self.private_key is None:
+            self.private_key = load_private_key(self.pem_path)
         from cryptography.hazmat.primitives import hashes
         from cryptography.hazmat.primitives.asymmetric import padding
 

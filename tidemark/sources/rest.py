@@ -1,21 +1,26 @@
-"""Paged REST sources: a batch reader with one partition per market or scope, over any transport."""
+"""Paged REST sources over any transport: chains of pages, dealt to tasks that share one request rate."""
 
 from __future__ import annotations
 
 import json
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from email.utils import parsedate_to_datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 PAGE_LIMIT = 1000
 LOOKUP_CHUNK = 100
 RETRIES, LONGEST_WAIT_S = 8, 60.0
-TRADE_PAGE = "ticker string, page int, cursor string, created_time string, trade_id string, yes_price_dollars string, no_price_dollars string, count_fp string, taker_side string, taker_outcome_side string, taker_book_side string, is_block_trade boolean"
+#: The share of the account's limits that pulls use.
+LIMITS_SHARE = 0.5
+TRADE_FIELDS = "created_time string, trade_id string, yes_price_dollars string, no_price_dollars string, count_fp string, taker_side string, taker_outcome_side string, taker_book_side string, is_block_trade boolean"
 
 #: Path and parameters to (status, headers, parsed body).
 Transport = Callable[[str, dict], tuple[int, dict, dict]]
@@ -41,6 +46,20 @@ class TokenBucket:
         self.tokens -= n
 
 
+def retry_after_s(value: str | None, now: Callable[[], float] = time.time) -> float | None:
+    """What a Retry-After header says, in seconds: a number or a date; None for anything else."""
+    if not value:
+        return None
+    try:
+        seconds = float(value)
+    except ValueError:
+        try:
+            seconds = parsedate_to_datetime(value).timestamp() - now()
+        except ValueError:
+            return None
+    return max(0.0, seconds) if math.isfinite(seconds) else None
+
+
 def backoff_s(attempt: int, retry_after: float | None = None, jitter: Callable[[], float] = random.random) -> float:
     """Seconds to wait: what the server says, or twice as long each time."""
     return min(LONGEST_WAIT_S, retry_after) if retry_after is not None else min(LONGEST_WAIT_S, 0.5 * 2**attempt) * (0.5 + 0.5 * jitter())
@@ -53,18 +72,21 @@ class Client:
     transport: Transport
     bucket: TokenBucket | None = None
     sleep: Callable[[float], None] = time.sleep
+    requests: int = 0
 
     def get(self, path: str, params: dict) -> dict:
         for attempt in range(RETRIES + 1):
             if self.bucket:
                 self.bucket.acquire()
+            self.requests += 1
             status, headers, body = self.transport(path, params)
             if status == 200:
+                if not isinstance(body, dict):
+                    raise BackfillError(f"{path}: no JSON object")
                 return body
             if status != 429 and status < 500:
                 break
-            wait = headers.get("Retry-After")
-            self.sleep(backoff_s(attempt, float(wait) if wait else None))
+            self.sleep(backoff_s(attempt, retry_after_s(headers.get("Retry-After"))))
         raise BackfillError(f"{path}: status {status}")
 
     def pages(self, path: str, params: dict, key: str, cursor: str | None = None, most: int | None = None) -> Iterator[tuple[int, str, list[dict]]]:
@@ -89,46 +111,104 @@ class Client:
         return out
 
 
-@dataclass
-class _Market(InputPartition):
-    ticker: str
+def limits(client: Client) -> tuple[float, float]:
+    """Requests a second and at once that pulls may use: a share of the account's read limits."""
+    read = client.get("/account/limits", {})["read"]
+    return LIMITS_SHARE * read["refill_rate"], LIMITS_SHARE * read["bucket_capacity"]
 
 
-class _TradeReader(DataSourceReader):
-    def __init__(self, transport: Transport, tickers: list[str], names: list[str]):
-        self.transport, self.tickers, self.names = transport, tickers, names
+@dataclass(frozen=True)
+class Chain:
+    """Pages that follow each other: where they are, the key of their records, and where to go on."""
 
-    def partitions(self) -> list[InputPartition]:
-        return [_Market(t) for t in self.tickers]
+    name: str
+    path: str
+    params: dict
+    key: str
+    cursor: str | None = None
+    page: int = 0
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        client = Client(self.transport)
-        for page, cursor, records in client.pages("/markets/trades", {"ticker": partition.ticker, "limit": PAGE_LIMIT}, "trades"):
-            for r in records:
-                yield (partition.ticker, page, cursor, *(r.get(n) for n in self.names))
 
+PAGES = "chain string, page int, cursor string, record string, requests int, error string"
 
-def trade_source(transport: Transport) -> type[DataSource]:
-    """A data source `tick_trades` over a transport; option `tickers`: a JSON list."""
 
-    class Trades(DataSource):
+@dataclass
+class _Share(InputPartition):
+    chains: tuple[Chain, ...]
+
+
+class _PageReader(DataSourceReader):
+    def __init__(self, transport: Transport, chains: list[Chain], shares: int, most_pages: int | None, rate: float | None, capacity: float):
+        self.transport, self.chains, self.shares, self.most_pages, self.rate, self.capacity = transport, chains, max(1, min(shares, len(chains))), most_pages, rate, capacity
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Share(tuple(self.chains[i :: self.shares])) for i in range(self.shares)] if self.chains else [_Share(())]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        # all tasks at once keep to the rate: each has its share of it
+        client = Client(self.transport, TokenBucket(self.rate / self.shares, max(1.0, self.capacity / self.shares)) if self.rate else None)
+        for c in partition.chains:
+            before = client.requests
+            try:
+                for page, cursor, records in client.pages(c.path, c.params, c.key, c.cursor, self.most_pages):
+                    # a row for the page itself, then one for each record
+                    yield c.name, c.page + page - 1, cursor, None, client.requests - before, None
+                    before = client.requests
+                    for r in records:
+                        yield c.name, c.page + page - 1, None, json.dumps(r), 0, None
+            except Exception as e:  # one chain's failure doesn't end the others
+                yield c.name, None, None, None, client.requests - before, repr(e)
+
+
+def page_source(transport: Transport) -> type[DataSource]:
+    """A data source `tick_pages` over a transport. Options: `chains` (JSON), `shares` (tasks), `max_pages` of a chain, `rate` and `capacity` of all requests."""
+
+    class Pages(DataSource):
         @classmethod
         def name(cls) -> str:
-            return "tick_trades"
+            return "tick_pages"
 
         def schema(self) -> str:
-            return TRADE_PAGE
+            return PAGES
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return _TradeReader(transport, json.loads(self.options["tickers"]), [f.name for f in schema][3:])
+            o = self.options
+            return _PageReader(transport, [Chain(**c) for c in json.loads(o["chains"])], int(o.get("shares", "1")), int(o["max_pages"]) if o.get("max_pages") else None, float(o["rate"]) if o.get("rate") else None, float(o.get("capacity", "1")))
+
+    return Pages
+
+
+def read_pages(spark: SparkSession, transport: Transport, chains: list[Chain], shares: int | None = None, max_pages: int | None = None, rate: float | None = None, capacity: float = 1.0) -> DataFrame:
+    """`PAGES` of some chains: for each page a row with the cursor of the next one, and a row per record (JSON); a chain that fails ends with a row that says why."""
+    spark.dataSource.register(page_source(transport))
+    options = {"chains": json.dumps([asdict(c) for c in chains]), "shares": str(shares or spark.sparkContext.defaultParallelism), "capacity": str(capacity)}
+    options |= ({"max_pages": str(max_pages)} if max_pages else {}) | ({"rate": str(rate)} if rate else {})
+    return spark.read.format("tick_pages").options(**options).load()
+
+
+def trades_chain(ticker: str, cursor: str | None = None, page: int = 0) -> Chain:
+    return Chain(ticker, "/markets/trades", {"ticker": ticker, "limit": PAGE_LIMIT}, "trades", cursor, page)
+
+
+def markets_chain(name: str, status: str, series: str | None = None, cursor: str | None = None, page: int = 0) -> Chain:
+    return Chain(name, "/markets", {"limit": PAGE_LIMIT, "status": status, **({"series_ticker": series} if series else {})}, "markets", cursor, page)
+
+
+def lookup_chains(tickers: list[str]) -> list[Chain]:
+    """Markets by their tickers, some in each request."""
+    return [Chain(f"lookup {i}", "/markets", {"tickers": ",".join(tickers[i : i + LOOKUP_CHUNK])}, "markets") for i in range(0, len(tickers), LOOKUP_CHUNK)]
+
 
-    return Trades
+def read_trades(spark: SparkSession, transport: Transport, tickers: list[str], **options) -> DataFrame:
+    """REST trades of markets, a column per field."""
+    pages = read_pages(spark, transport, [trades_chain(t) for t in tickers], **options)
+    return trade_columns(pages)
 
 
-def read_trades(spark: SparkSession, transport: Transport, tickers: list[str]):
-    """REST trades of markets, each market a partition."""
-    spark.dataSource.register(trade_source(transport))
-    return spark.read.format("tick_trades").option("tickers", json.dumps(tickers)).load()
+def trade_columns(pages: DataFrame) -> DataFrame:
+    """(ticker, page, and a column per field of a trade) from `PAGES` of trades."""
+    fields = F.from_json("record", TRADE_FIELDS)
+    return pages.filter("record is not null").select(F.col("chain").alias("ticker"), "page", fields.alias("t")).select("ticker", "page", "t.*")
 
 
 def http_transport(base_url: str, headers: Callable[[str, str], dict] | None = None) -> Transport:
