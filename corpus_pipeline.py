@@ -1,7 +1,13 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, packing.
 
 Each stage reads all that the one before it kept, as a written table. All but the last return the columns of
-`documents`; the last returns where the documents' pieces lie in packed sequences.
+`documents`, extra ones and their names untouched; the last returns where the documents' pieces lie in packed sequences.
+
+Defined results, as the operators state them: null and empty texts have no words, so the quality rules refuse them; rows with the
+same or no id are documents of their own, but equal texts are one group of near duplicates whatever their ids, of
+which the smallest id (of equal ids the first row) stays; null columns pass through; very long texts are taken whole; an empty
+table passes every stage as an empty table; without labels the quality rules keep what passes the base rules, and without
+benchmark items nothing is contaminated.
 """
 
 from __future__ import annotations
