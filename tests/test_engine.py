@@ -114,6 +114,8 @@ def test_reader(spark, store):
     assert reader.coverage(WALL + 200, WALL + 300).has_gaps and not reader.coverage(WALL + 201, WALL + 300).has_gaps
     assert [len(b) for b in reader.trades("", WALL, WALL + 50).iter_batches(1)] == [1, 1]
     assert "PushedFilters" in reader.trades("", WALL, WALL + 50).explain()
+    said = reader.trades("", WALL, WALL + 50).explain(analyze=True)
+    assert said.startswith("2 rows in ") and "isFinalPlan=true" in said
     with pytest.raises(ValueError):
         reader.trades("", WALL, WALL, source="other")
     with pytest.raises(ValueError):
