@@ -32,6 +32,32 @@ def test_query_equals_sql(spark, sql, name):
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(columns, wanted.fetchall())
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def whole_plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_windows_reach_the_scan(spark, whole_plans):
+    stored = plan(QUERIES["stored_trades"](spark, DATA))
+    assert "PartitionFilters: [isnotnull(date" in stored and "GreaterThanOrEqual(ts_wall," in stored and "StringStartsWith(market_ticker,C)" in stored
+    assert "part" in plan(QUERIES["stored_backfill"](spark, DATA)).split("PartitionFilters: [")[1].split("]")[0]
+    for name in ("trades_dedup", "price_series", "list_tickers"):
+        assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan(QUERIES[name](spark, DATA)), name
+
+
+def test_no_query_sorts_all_rows_in_one_task(spark):
+    for name in ("coverage_overlap", "message_sessions"):
+        scans = plan(QUERIES[name](spark, DATA))
+        # minutes are added up before anything is exchanged
+        assert "partial_min" in scans.rsplit("Exchange hashpartitioning", 1)[-1]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
