@@ -52,3 +52,12 @@ def test_guards(tmp_path):
     assert guards.disk_check(str(tmp_path), 0)() is None and guards.disk_check(str(tmp_path), 1e9)()
     assert guards.memory_check(1e9)() is None and guards.memory_check(0)()
     assert guards.hours_left(10, 5, 2.5) == 2 and guards.hours_left(10, 5, 0) is None
+
+
+def test_throughput_projects_the_disk(monkeypatch):
+    free, now = iter([100.0] + [99.0] * 9), [0.0]
+    monkeypatch.setattr(guards, "free_gb", lambda path: next(free))
+    seen = guards.Throughput(path="/", margin_gb=9.0, clock=lambda: now[0])
+    now[0] = 1800.0  # half an hour: 2 GB an hour
+    assert seen.hours_left == 45.0 and "2.000 GB/h, space for 45.0 h" in seen.report()
+    assert guards.Throughput().hours_left is None and "any time" in guards.Throughput().report()

@@ -4,6 +4,7 @@ import time
 import pytest
 
 from tests.test_engine import WALL, gap, tick, trade
+from tidemark import cli
 from tidemark.operators.ingest import Compactor
 from tidemark.operators.reader import Reader
 from tidemark.sources.raw import raw_lines
@@ -96,6 +97,21 @@ def test_recorder_streams(spark, tmp_path):
     assert [json.loads(r.line)["raw"] for r in sorted(lines, key=lambda r: r.line_number)] == ['{"type":"x"}', '{"type":"y"}']
 
 
+def test_record_command(spark, tmp_path, capsys, monkeypatch):
+    def connect(subscription):
+        yield from ('{"type":"x"}', '{"type":"y"}')
+        time.sleep(60)
+
+    for name, value in {"DATA_DIR": str(tmp_path), "KEY_ID": "k", "KEY_FILE": "f", "MIN_FREE_GB": "0.001"}.items():
+        monkeypatch.setenv(f"TIDEMARK_{name}", value)
+    monkeypatch.setattr(cli, "websocket", lambda url, headers, path: connect)
+    monkeypatch.setattr(cli.guards, "memory_check", lambda: lambda: None)
+    assert cli.main(["record", "wss://feed.example/ws", "--seconds", "12", "--report-every", "3"]) == 0
+    said = capsys.readouterr().out
+    assert "stopped: the time is up" in said and "GB/h" in said
+    assert sorted(json.loads(r.line)["raw"] for r in raw_lines(spark, str(tmp_path / "raw")).collect()) == ['{"type":"x"}', '{"type":"y"}']
+
+
 def test_feed_lands_by_hour(spark, tmp_path):
     """Landed files are what compaction reads: messages, and the marker in the hour of the outage's end."""
     feed = [(1, WALL, None), (2, WALL + 1, json.dumps({"type": "subscribed", "id": 1, "msg": {"channel": "c", "sid": 2}})), (3, WALL + 2, None), (5, WALL + 3_600_000_000_000, "{bad")]
@@ -124,6 +140,21 @@ def test_files_are_ingested_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/type=trade")).count() == 2
 
 
+def test_files_that_grew_are_stored_anew(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    for name, ids in (("a", (1, 2)), ("b", (3,))):
+        (raw / f"{name}.ndjson").write_text("".join(json.dumps(trade(i)) + "\n" for i in ids))
+    S.ingest(spark, str(raw), out, str(tmp_path / "check")).awaitTermination()
+    assert S.changed_files(spark, str(raw), out).count() == 0 and S.reingest(spark, str(raw), out, "1") == 0
+    with (raw / "a.ndjson").open("a") as f:
+        f.write(json.dumps(trade(4)) + "\n{bad\n")
+    S.ingest(spark, str(raw), out, str(tmp_path / "check")).awaitTermination()  # a stream reads a file once
+    assert S.reingest(spark, str(raw), out, "2") == 1 and S.reingest(spark, str(raw), out, "3") == 0
+    assert sorted(r.seq for r in Reader(spark, out).table("trade").collect()) == [1, 2, 3, 4]
+    assert spark.read.json(f"{out}/stream_rejects").count() == 1
+
+
 def test_prefix_filter_keeps_control_messages(spark):
     rows = spark.createDataFrame([('{"msg":{"market_ticker":"AB-1"}}',), ('{"msg":{"market_ticker":"X"}}',), ('{"type":"ok"}',), (None,)], "raw string")
     assert S.wanted(rows, ["AB"]).count() == 3 and S.wanted(rows, []).count() == 4

@@ -1,9 +1,14 @@
-"""Command line: compact, retain, migrate, backfill, space."""
+"""Command line: record, compact, retain, migrate, backfill, space."""
 
 from __future__ import annotations
 
 import argparse
+import os
+import signal
 import sys
+import threading
+import time
+import urllib.parse
 
 from pyspark.sql import SparkSession
 
@@ -17,12 +22,19 @@ from tidemark.session import session
 from tidemark.sources.auth import Signer
 from tidemark.sources.raw import completed, raw_files, with_partition
 from tidemark.sources.rest import Transport, http_transport
+from tidemark.sources.socket import Recorder, feed_source, websocket
+from tidemark.streaming import guards
 from tidemark.streaming.guards import free_gb
+from tidemark.streaming.ingest import write_raw
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark")
     sub = p.add_subparsers(dest="command", required=True)
+    f = sub.add_parser("record", help="land the live feed as raw files until it is told to stop")
+    f.add_argument("url", help="the feed's web socket")
+    f.add_argument("--seconds", type=float, help="stop after so long")
+    f.add_argument("--report-every", type=float, default=60.0, metavar="SECONDS")
     c = sub.add_parser("compact", help="raw files to typed Parquet")
     c.add_argument("data_dir")
     c.add_argument("mode", choices=["file", "date", "all", "completed"])
@@ -70,6 +82,41 @@ def transport_of(base_url: str | None) -> Transport:
     return http_transport(url, signer.headers)
 
 
+def record(a: argparse.Namespace, spark: SparkSession) -> int:
+    """The `record` command: lands the feed, says how it goes, and stops cleanly when asked to, or when disk or memory run low."""
+    c = config.load()
+    signer = Signer(c.key_id, None, pem_path=c.key_file)
+    recorder = Recorder(websocket(a.url, signer.headers, urllib.parse.urlsplit(a.url).path), list(c.channels))
+    ended = threading.Event()
+    reasons: list[str] = []
+
+    def stop(reason: str) -> None:
+        reasons.append(reason)
+        ended.set()
+
+    seen = guards.Throughput([guards.disk_check(c.data_dir, c.min_free_gb), guards.memory_check()], stop, c.data_dir, c.min_free_gb)
+    os.makedirs(c.data_dir, exist_ok=True)
+    spark.streams.addListener(seen)
+    spark.dataSource.register(feed_source(recorder))
+    query = write_raw(spark.readStream.format("tick_feed").load(), c.raw_dir, f"{c.data_dir}/feed_checkpoint", list(c.prefixes), processingTime="5 seconds")
+    before = {s: signal.signal(s, lambda *_: stop("told to")) for s in (signal.SIGINT, signal.SIGTERM)} if threading.current_thread() is threading.main_thread() else {}
+    began = time.monotonic()
+    try:
+        while not ended.wait(min(a.report_every, a.seconds or a.report_every)):
+            print(seen.report(), flush=True)
+            if a.seconds and time.monotonic() - began >= a.seconds:
+                stop("the time is up")
+            if not query.isActive:
+                stop("the stream ended")
+        guards.drain(query)
+    finally:
+        for s, handler in before.items():
+            signal.signal(s, handler)
+        spark.streams.removeListener(seen)
+    print(f"stopped: {reasons[0]}; {seen.report()}")
+    return int(reasons[0] not in ("told to", "the time is up"))
+
+
 def backfill(a: argparse.Namespace, spark: SparkSession) -> int:
     """The `backfill` command; 2 if it names nothing to do, 1 if there is nothing to pull from."""
     wants_pull = a.pull is not None or a.retry_failed
@@ -116,8 +163,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"{free_gb(a.path):.1f} GB free")
         return int(free_gb(a.path) < a.least_gb)
     spark = session()
-    if a.command == "backfill":
-        return backfill(a, spark)
+    if a.command in ("backfill", "record"):
+        return {"backfill": backfill, "record": record}[a.command](a, spark)
     if a.command == "migrate":
         print(migrate.migrate(spark, a.source, a.target))
         return 0

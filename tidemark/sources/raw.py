@@ -15,7 +15,7 @@ from tidemark.sources.store import delete, files_below, hadoop_path, move
 LAYOUT = r"(?:^|/)(\d{4}-\d{2}-\d{2})/((\d{2})(?:-[^/.]+)?)\.ndjson(?:\.zst|\.gz)?$"
 
 
-def _one_form(path):
+def one_form(path):
     """A path in one spelling, whichever reader reports it."""
     return F.regexp_replace(path, "^file:/+", "file:/")
 
@@ -26,7 +26,7 @@ def raw_files(spark: SparkSession, root: str, mode: str = "all", target: str | N
     if mode not in where or mode != "all" and not target:
         raise ValueError(f"mode {mode!r} with target {target!r}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where[mode])
-    return with_partition(files.select(_one_form(F.col("path")).alias("path"), F.col("length").alias("size"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))).orderBy("path")
+    return with_partition(files.select(one_form(F.col("path")).alias("path"), F.col("length").alias("size"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))).orderBy("path")
 
 
 def with_partition(files: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def raw_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         if longest >= spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
             raise ValueError(f"a plain file of {longest} bytes would be split and its lines misnumbered: compress it, or raise spark.sql.files.maxPartitionBytes")
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(paths)
-    read = lines.select(_one_form(F.col("_metadata.file_path")).alias("path"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    read = lines.select(one_form(F.col("_metadata.file_path")).alias("path"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
     first = read.groupBy("path").agg(F.min("at").alias("first"))
     numbered = read.join(F.broadcast(first) if isinstance(paths, list) and len(paths) <= 10_000 else first, "path")
     return numbered.select("path", (F.col("at") - F.col("first") + 1).alias("line_number"), "line").filter("line <> ''")

@@ -199,3 +199,16 @@ class Recorder:
             while self.first < at and self.held:
                 self.held.popleft()
                 self.first += 1
+
+
+def websocket(url: str, headers: Callable[[str, str], dict[str, str]], path: str) -> Callable[[str], Iterator[str | bytes]]:
+    """Connections of a web socket, for `Recorder`, where the `websockets` library is there; `headers` signs each of them."""
+
+    def connect(subscription: str) -> Iterator[str | bytes]:
+        from websockets.sync.client import connect as open_socket
+
+        socket = open_socket(url, additional_headers=headers("GET", path), max_size=None, ping_interval=20, ping_timeout=20, close_timeout=5)
+        socket.send(subscription)
+        return iter(socket)
+
+    return connect

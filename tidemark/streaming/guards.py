@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import shutil
+import time
 from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQuery
@@ -27,12 +28,28 @@ def hours_left(free: float, margin_gb: float, gb_per_hour: float) -> float | Non
 
 
 class Throughput(StreamingQueryListener):
-    """Rows and batches of all queries, and reasons to stop them after a batch."""
+    """Rows and batches of all queries, how long the disk lasts at the pace so far, and reasons to stop them after a batch."""
 
-    def __init__(self, checks: list[Callable[[], str | None]] | None = None, stop: Callable[[str], None] | None = None):
+    def __init__(self, checks: list[Callable[[], str | None]] | None = None, stop: Callable[[str], None] | None = None, path: str | None = None, margin_gb: float = 0.0, clock: Callable[[], float] = time.monotonic):
         self.rows = self.batches = 0
         self.rate = 0.0
-        self.checks, self.stop = checks or [], stop
+        self.checks, self.stop, self.path, self.margin_gb, self.clock = checks or [], stop, path, margin_gb, clock
+        self.began, self.free_at_first = clock(), free_gb(path) if path else 0.0
+
+    @property
+    def gb_per_hour(self) -> float:
+        """What has been written since the start, by the space that is gone."""
+        hours = (self.clock() - self.began) / 3600
+        return max(0.0, self.free_at_first - free_gb(self.path)) / hours if self.path and hours > 0 else 0.0
+
+    @property
+    def hours_left(self) -> float | None:
+        """Hours until only the margin is free, at the pace so far; None if nothing is written."""
+        return hours_left(free_gb(self.path), self.margin_gb, self.gb_per_hour) if self.path else None
+
+    def report(self) -> str:
+        left = self.hours_left
+        return f"{self.rows} rows in {self.batches} batches, {self.rate:.1f} rows/s, {self.gb_per_hour:.3f} GB/h, " + ("space for any time" if left is None else f"space for {left:.1f} h")
 
     def onQueryStarted(self, event: QueryStartedEvent) -> None:
         pass

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.clock import ns_to_date, ns_to_hour, ns_to_timestamp
 from tidemark.operators.ingest import classify, rows_of
 from tidemark.plans.datasets import DATASETS
-from tidemark.sources.raw import land
+from tidemark.sources.raw import land, one_form, raw_files, raw_lines
 from tidemark.sources.store import write_parts
 
 
@@ -52,25 +52,54 @@ def write_raw(messages: DataFrame, folder: str, checkpoint: str, prefixes: list[
 def lines_stream(spark: SparkSession, folder: str, max_files: int = 100) -> DataFrame:
     """New raw files as lines; the rate limit holds files back, it drops nothing."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").load(folder)
-    return lines.select(F.col("_metadata.file_path").alias("path"), F.lit(None).cast("long").alias("line_number"), F.col("value").alias("line")).filter("line <> ''")
+    return lines.select(one_form(F.col("_metadata.file_path")).alias("path"), F.lit(None).cast("long").alias("line_number"), F.col("value").alias("line")).filter("line <> ''")
+
+
+INGESTED = "path string, size long, mtime_ns long"
+
+
+def _store_files(lines: DataFrame, out: str) -> None:
+    """Classify whole files' lines and store them, a part per file: a file that is stored again replaces its part."""
+    rows = classify(lines).withColumn("part", F.concat(F.lit("stream_"), F.left(F.sha1(F.col("path").cast("binary")), F.lit(16)))).persist()
+    try:
+        for d in DATASETS.values():
+            write_parts(rows_of(rows, d, "part").withColumn("date", ns_to_date(F.col("ts_wall"))), out, d.name)
+        refused = rows.filter("reason is not null").select("path", "reason", "line", "part")
+        refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").json(f"{out}/stream_rejects")
+    finally:
+        rows.unpersist()
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Classify new raw files and store each dataset's rows in a part per batch; a batch that runs again replaces its own part."""
+    """Classify new raw files and store each dataset's rows, a part per file; a batch that runs again replaces its own parts. What was read is noted as it lay there then."""
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = classify(batch).persist()
-        try:
-            for d in DATASETS.values():
-                part = F.lit(f"stream_{number:08d}")
-                write_parts(rows_of(rows, d).withColumns({"date": ns_to_date(F.col("ts_wall")), "part": part}), out, d.name)
-            rows.filter("reason is not null").select("path", "reason", "line").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(f"{out}/stream_rejects")
-        finally:
-            rows.unpersist()
+        paths = [r[0] for r in batch.select("path").distinct().collect()]  # at most a batch's files
+        files = raw_files(spark, folder).select("path", "size", "mtime_ns").filter(F.col("path").isin(paths))
+        noted = [tuple(r) for r in files.collect()]
+        _store_files(batch, out)
+        spark.createDataFrame(noted, INGESTED).coalesce(1).write.mode("overwrite").parquet(f"{out}/stream_files/batch={number:08d}")
 
     return lines_stream(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def changed_files(spark: SparkSession, folder: str, out: str) -> DataFrame:
+    """(path, size, mtime_ns) of files that the stream has read and that grew or changed since: a stream reads a file once."""
+    noted = spark.read.schema(INGESTED).option("recursiveFileLookup", "true").parquet(f"{out}/stream_files")
+    now = raw_files(spark, folder).select("path", "size", "mtime_ns")
+    last = noted.groupBy("path").agg(F.max_by(F.struct("size", "mtime_ns"), "mtime_ns").alias("was"))
+    return now.join(last, "path").filter((F.col("size") != F.col("was.size")) | (F.col("mtime_ns") != F.col("was.mtime_ns"))).select("path", "size", "mtime_ns")
+
+
+def reingest(spark: SparkSession, folder: str, out: str, at: str) -> int:
+    """Store files anew that changed since the stream read them; `at` names the run. Returns how many."""
+    changed = [tuple(r) for r in changed_files(spark, folder, out).collect()]  # one row per changed file
+    if changed:
+        _store_files(raw_lines(spark, [p for p, *_ in changed]), out)
+        spark.createDataFrame(changed, INGESTED).coalesce(1).write.mode("overwrite").parquet(f"{out}/stream_files/again={at}")
+    return len(changed)
+
+
 def first_copies(trades: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """The first arriving copy of each trade within the watermark (an extension: it keeps the first, not the live copy)."""
     return trades.withColumn("at", ns_to_timestamp(F.col("ts_wall"))).withWatermark("at", delay).dropDuplicatesWithinWatermark(["trade_id"])
