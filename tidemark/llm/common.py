@@ -6,8 +6,10 @@ by byte classes, and words and word windows get 64-bit hashes without a Python l
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,10 @@ BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 SLICE_BYTES = 2 << 20
 #: Input bytes per reducer of the packed shuffles.
 BYTES_PER_REDUCER = 32 << 20
+#: Parts of a table's files at least, however small they are.
+LEAST_SPLITS = 16
+#: Bytes that a writer of a table between steps holds before it writes them.
+ROW_GROUP_BYTES = 32 << 20
 #: ASCII white space of the word contracts: space and \x09-\x0D.
 SPACE = bytes([32, 9, 10, 11, 12, 13])
 
@@ -41,7 +47,7 @@ def tune(spark: SparkSession) -> None:
     is set; with it, a lost executor doesn't change the splits, so a row keeps its key whenever its table is read.
     """
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
-        spark.conf.set("spark.sql.files.minPartitionNum", str(max(64, spark.sparkContext.defaultParallelism)))
+        spark.conf.set("spark.sql.files.minPartitionNum", str(max(LEAST_SPLITS, spark.sparkContext.defaultParallelism)))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -74,14 +80,49 @@ def clear_written(spark: SparkSession) -> None:
     _delete(spark, application_dir(spark))
 
 
-def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts lineage, and survives lost executors."""
+def materialize(df: DataFrame, codec: str = "zstd", small: bool = False) -> DataFrame:
+    """Write `df` to the shared folder and read it back: cuts lineage, and survives lost executors. A `small` table (links, numbers) goes to an eighth as many files as a shuffle has partitions."""
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.option("compression", codec).parquet(path)
+    if small:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+    df.write.option("compression", codec).option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def _give_back() -> None:
+    """Return this process' freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def _drop_pieces() -> None:
+    """Forget the piece table that another operator left in this worker."""
+    if tokens := sys.modules.get("tidemark.llm.tokens"):
+        tokens.pieces_of.cache_clear()
+
+
+def tidy(run: Callable[[Iterator], Iterator], pieces: bool = False) -> Callable[[Iterator], Iterator]:
+    """A partition function that gives memory back when its partition ends. Workers serve one operator after another: unless it needs it (`pieces`), it drops the piece table first."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not pieces:
+            _drop_pieces()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a table that `materialize` wrote, once nothing reads it any more."""
     spark = df.sparkSession

@@ -18,11 +18,11 @@ SALTS = 16
 
 def forest_roots(parents: DataFrame) -> DataFrame:
     """(node, root) of each node u, from one row (u, v) per node, v smaller than u."""
-    now = materialize(parents.select("u", "v"))
+    now = materialize(parents.select("u", "v"), small=True)
     while True:
         # both sides are written tables, so Spark can split the rows of a parent with very many children
         step = now.join(now.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left")
-        after = materialize(step.select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved")))
+        after = materialize(step.select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved")), small=True)
         drop_written(now)
         if after.filter("moved").isEmpty():
             return after.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -44,10 +44,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each linked node's component, from links (u, v)."""
-    edges = materialize(links.filter("u <> v").select("u", "v").distinct())
+    edges = materialize(links.filter("u <> v").select("u", "v").distinct(), small=True)
     before = None
     while True:
-        now = materialize(_star(_star(edges, True), False))
+        now = materialize(_star(_star(edges, True), False), small=True)
         drop_written(edges)
         edges = now
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -61,7 +61,7 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     end = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
     known = links.join(end("u"), "u", "left").join(end("v"), "v", "left")
     between = known.select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v"))
-    moved = materialize(components(between)).withColumnRenamed("root", "to")
+    moved = materialize(components(between), small=True).withColumnRenamed("root", "to")
     old = roots.join(moved.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     new = moved.join(roots, "node", "left_anti").select("node", F.col("to").alias("root"))
-    return materialize(old.unionByName(new))
+    return materialize(old.unionByName(new), small=True)

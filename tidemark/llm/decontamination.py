@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, Words, buffers, carried, is_delimiter, keyed, materialize, restored, slices, table, tune, with_fields
+from tidemark.llm.common import UID, Words, buffers, carried, is_delimiter, keyed, materialize, restored, slices, table, tidy, tune, with_fields
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
@@ -220,7 +220,7 @@ def packed_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
             yield pa.record_batch([batch.column(UID), batch.column("item_id"), pa.array(w.count, pa.int64()), pa.array([h[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:])], pa.binary())], [UID, "item_id", "n", "words"])
 
     rows = benchmark.select(F.monotonically_increasing_id().alias(UID), F.col(f"`{id_col}`").cast("string").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(run, f"{UID} long, item_id string, n long, words binary").filter("n > 0"))
+    return materialize(rows.mapInArrow(tidy(run), f"{UID} long, item_id string, n long, words binary").filter("n > 0"))
 
 
 def blocks(items: DataFrame, most: int = BLOCK_WORDS) -> list[Column]:
@@ -259,7 +259,7 @@ def _fused(rows: DataFrame, items: list[tuple[str | None, bytes]], window: int)
                 n_hit = [int(hit[a : a + n].sum()) for a, n in zip(shard.first, shard.counts)]
                 yield pa.record_batch([*(batch.column(c) for c in passed), *_columns(shard.counts, n_hit, [_in_order(items.get(d, set())) for d in range(j - i)], [matches.get(d, []) for d in range(j - i)])], [*passed, *dict(FOUND)])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def written_shards(rows: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def written_shards(rows: DataFrame) -> DataFrame:
                 packed = [uid[i:j].tobytes(), s.counts.astype(np.int64).tobytes(), s.h[: s.size].tobytes(), s.order.astype(np.int64).tobytes()]
                 yield pa.record_batch([pa.array([x], pa.binary()) for x in packed], ["uids", "counts", "words", "places"])
 
-    return materialize(rows.select(UID, "text").mapInArrow(run, "uids binary, counts binary, words binary, places binary"))
+    return materialize(rows.select(UID, "text").mapInArrow(tidy(run), "uids binary, counts binary, words binary, places binary"))
 
 
 def _searched(shards: DataFrame, items: list[tuple[str | None, bytes]], window: int) -> DataFrame:
@@ -292,7 +292,7 @@ def _searched(shards: DataFrame, items: list[tuple[str | None, bytes]], window:
                 shown = _columns([], [], [_in_order(found[d]) for d in docs], [matches.get(d, []) for d in docs])[2:]
                 yield pa.record_batch([pa.array(np.frombuffer(uids, np.int64)[docs], pa.int64()), pa.array(bits, pa.binary()), *shown], [UID, "hits", "items", "matches"])
 
-    return shards.mapInArrow(run, f"{UID} long, hits binary, items {FOUND[2][1]}, matches {FOUND[3][1]}")
+    return shards.mapInArrow(tidy(run), f"{UID} long, hits binary, items {FOUND[2][1]}, matches {FOUND[3][1]}")
 
 
 def _in_blocks(rows: DataFrame, items: DataFrame, parts: list[Column], window: int) -> DataFrame:
@@ -316,8 +316,8 @@ def _in_blocks(rows: DataFrame, items: DataFrame, parts: list[Column], window: i
     # of each text one row per block at most
     by_text = found.groupBy(UID).agg(F.collect_list("hits").alias("hits"), F.collect_list("items").alias("i"), F.collect_list("matches").alias("m"))
     by_text = by_text.select(UID, "hits", F.array_sort(F.array_distinct(F.flatten("i"))).alias("items"), F.flatten("m").alias("matches"))
-    by_text = by_text.mapInArrow(ored, f"{UID} long, n_hit long, items {FOUND[2][1]}, matches {FOUND[3][1]}")
-    known = shards.select("uids", "counts").mapInArrow(count, f"{UID} long, n_words long").join(by_text, UID, "left")
+    by_text = by_text.mapInArrow(tidy(ored), f"{UID} long, n_hit long, items {FOUND[2][1]}, matches {FOUND[3][1]}")
+    known = shards.select("uids", "counts").mapInArrow(tidy(count), f"{UID} long, n_words long").join(by_text, UID, "left")
     known = known.select(UID, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast(FOUND[2][1])).alias("items"), F.coalesce("matches", F.array().cast(FOUND[3][1])).alias("matches"))
     return rows.join(known, UID)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, table, tune
+from tidemark.llm.common import UID, table, tidy, tune
 
 #: Lines of a window, the characters in it that make a surge, and the part of them below which it dives.
 WINDOW, SURGE, DIVE = 3, 100, 0.25
@@ -316,7 +316,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             text = [main_text(x) for x in batch.column("html").to_pylist()]
             yield pa.record_batch([batch.column(UID), batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], [UID, "page_id", "url", "text"])
 
-    return rows.mapInArrow(run, f"{UID} long, page_id long, url string, text string")
+    return rows.mapInArrow(tidy(run), f"{UID} long, page_id long, url string, text string")
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, UID, carried, keyed, materialize, mix, plan_bytes, restored, table, tune, with_fields
+from tidemark.llm.common import SPACE, UID, carried, keyed, materialize, mix, plan_bytes, restored, table, tidy, tune, with_fields
 
 MIN_DOCS, MIN_KEY_CHARS = 10, 1
 #: Filters of up to this many bytes in all are broadcast; beyond it, line keys are joined to the counts.
@@ -143,7 +143,7 @@ def count_lines(docs: DataFrame, shards: int, min_key_chars: int = MIN_KEY_CHARS
         if counts:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, REFS).groupBy("shard", "key").agg(F.sum("docs").alias("docs"))
+    return docs.select("text").mapInArrow(tidy(run), REFS).groupBy("shard", "key").agg(F.sum("docs").alias("docs"))
 
 
 FILTERS = "shard int, cells binary, exceptions binary"
@@ -175,7 +175,7 @@ def build_filters(refs: DataFrame, shards: int, least: int) -> DataFrame:
             yield done()
 
     dealt = refs.repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("docs") < least)
-    return dealt.mapInArrow(run, FILTERS)
+    return dealt.mapInArrow(tidy(run), FILTERS)
 
 
 def _filter_row(shard: int, found: CuckooFilter | None, exceptions: Iterable[bytes]) -> pa.RecordBatch:
@@ -226,7 +226,7 @@ def update_filters(filters: DataFrame, changes: DataFrame, shards: int) -> DataF
     new = changes.select("shard", F.when(F.col("flip") < 0, 1).when(F.col("flip") > 0, 2).otherwise(3).alias("kind"), "key", nothing.alias("cells"), nothing.alias("exceptions"))
     gone = changes.filter("flip < 0").select("shard", F.lit(3).alias("kind"), "key", nothing.alias("cells"), nothing.alias("exceptions"))
     dealt = old.unionByName(new).unionByName(gone).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind", "key")
-    return dealt.mapInArrow(run, FILTERS)
+    return dealt.mapInArrow(tidy(run), FILTERS)
 
 
 class LineIndex:
@@ -341,7 +341,7 @@ def _dropped(rows: DataFrame, member, min_key_chars: int) -> DataFrame:
                 hit[some] = member([xxhash.xxh3_128_digest(keys[i]) for i in some])
             yield _kept(batch, lines, np.split(hit, np.cumsum([len(a) for a in lines])[:-1]))
 
-    return rows.mapInArrow(run, with_fields(rows.schema, *ADDED))
+    return rows.mapInArrow(tidy(run), with_fields(rows.schema, *ADDED))
 
 
 def _dropped_by_join(rows: DataFrame, index: LineIndex) -> DataFrame:
@@ -363,8 +363,8 @@ def _dropped_by_join(rows: DataFrame, index: LineIndex) -> DataFrame:
             yield _kept(batch, lines, out)
 
     members = index.members().select("key", F.explode(F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).alias("salt"))
-    hit = rows.select(UID, "text").mapInArrow(keys, f"{UID} long, line long, key binary, salt int").join(members, ["key", "salt"]).groupBy(UID).agg(F.collect_list("line").alias("lines"))
-    return rows.join(hit, UID, "left").mapInArrow(drop, with_fields(rows.schema, *ADDED))
+    hit = rows.select(UID, "text").mapInArrow(tidy(keys), f"{UID} long, line long, key binary, salt int").join(members, ["key", "salt"]).groupBy(UID).agg(F.collect_list("line").alias("lines"))
+    return rows.join(hit, UID, "left").mapInArrow(tidy(drop), with_fields(rows.schema, *ADDED))
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_key_chars: int = MIN_KEY_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, UID, Words, buffers, carried, drop_written, keyed, materialize, mix, reducers, restored, slices, table, tune, windows
+from tidemark.llm.common import K1, UID, Words, buffers, carried, drop_written, keyed, materialize, mix, reducers, restored, slices, table, tidy, tune, windows
 from tidemark.llm.components import forest_roots, merged
 from tidemark.llm.packed import cut, groups, repeated
 
@@ -126,7 +126,7 @@ def signed(rows: DataFrame) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.record_batch([part.column(UID), part.column("doc_id"), pa.array(n), *(pa.array(x, pa.binary()) for x in (digest, sigs, keys))], [UID, "doc_id", "n", "digest", "sig", "bands"])
 
-    return rows.mapInArrow(run, SIGNED)
+    return rows.mapInArrow(tidy(run), SIGNED)
 
 
 MEMBERS = "bucket long, node long, hub long, size long"
@@ -174,8 +174,8 @@ def buckets(nodes: DataFrame, slots: int) -> DataFrame:
         for i in range(0, len(out[0]), 1 << 16):
             yield pa.record_batch([pa.array(x[i : i + (1 << 16)]) for x in out], ["bucket", "node", "hub", "size"])
 
-    sent = nodes.select("node", "bands").mapInArrow(send, "slot int, data binary")
-    return sent.repartitionById(slots, "slot").mapInArrow(match, MEMBERS)
+    sent = nodes.select("node", "bands").mapInArrow(tidy(send), "slot int, data binary")
+    return sent.repartitionById(slots, "slot").mapInArrow(tidy(match), MEMBERS)
 
 
 def _estimated(pairs: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def _estimated(pairs: DataFrame) -> DataFrame:
             ok = pa.array(est >= LEAST_ESTIMATE)
             yield pa.record_batch([batch.column("u").filter(ok), batch.column("v").filter(ok), pa.array(est).filter(ok)], ["u", "v", "est"])
 
-    return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long, est double")
+    return pairs.select("u", "v", "su", "sv").mapInArrow(tidy(run), "u long, v long, est double")
 
 
 def hub_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def met(members: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def _mixed(placed: DataFrame) -> DataFrame:
     """(bucket) of rows (bucket, root): those with two components or more, as a written table."""
-    return materialize(placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket"))
+    return materialize(placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket"), small=True)
 
 
 GROUP = ["bucket", "low", "high"]
@@ -269,7 +269,7 @@ def best_partners(groups_: DataFrame) -> DataFrame:
             yield pa.record_batch([*(pa.array([g] * len(on), t) for g, t in zip(group[0][:3], (pa.int64(), pa.int32(), pa.int32()))), pa.array(node[on]), pa.array(partner[on]), pa.array(best[on])], [*GROUP, "node", "partner", "est"])
 
     dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
-    return dealt.mapInArrow(run, "bucket long, low int, high int, node long, partner long, est double")
+    return dealt.mapInArrow(tidy(run), "bucket long, low int, high int, node long, partner long, est double")
 
 
 def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -304,7 +304,7 @@ def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield pa.record_batch([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["u", "v", "sure"])
 
     dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
-    return dealt.mapInArrow(run, "u long, v long, sure boolean")
+    return dealt.mapInArrow(tidy(run), "u long, v long, sure boolean")
 
 
 def _rarity(sets: DataFrame, counters: int) -> np.ndarray:
@@ -318,7 +318,7 @@ def _rarity(sets: DataFrame, counters: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["at", "n"])
 
-    rows = sets.select("shingles").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    rows = sets.select("shingles").mapInArrow(tidy(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(counters, np.int64)
     out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return out
@@ -353,7 +353,7 @@ def by_rare_shingles(sets: DataFrame, roots: DataFrame, percent: int = PERCENT,
             columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
             yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns[:3]), pa.array(columns[3].astype(bool))], ["bucket", "node", "root", "able"])
 
-    rows = materialize(sets.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "shingles").mapInArrow(run, "bucket long, node long, root long, able boolean"))
+    rows = materialize(sets.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "shingles").mapInArrow(tidy(run), "bucket long, node long, root long, able boolean"))
     groups_ = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("able").alias("able"), F.count("*").alias("size")).filter("a <> b and able").select("bucket", "size")
     return materialize(rows.select("bucket", "node").join(materialize(groups_), "bucket").select("bucket", "node", "size"))
 
@@ -373,9 +373,9 @@ def full_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
                 s, first = shingle_sets(Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower=True))
                 yield pa.record_batch([batch.column(UID).slice(i, j - i), pa.array([s[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["node", "shingles"])
 
-    needed = materialize(nodes.select(F.col("node").alias(UID)).distinct())
+    needed = materialize(nodes.select(F.col("node").alias(UID)).distinct(), small=True)
     picked = rows.select(UID, "text").join(_few(needed), UID, "left_semi")
-    return materialize(picked.mapInArrow(run, "node long, shingles binary"), "none")
+    return materialize(picked.mapInArrow(tidy(run), "node long, shingles binary"), "none")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -392,7 +392,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
             yield pa.record_batch([batch.column("u").filter(mask), batch.column("v").filter(mask)], ["u", "v"])
 
     out = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
-    return out.select("u", "v", "su", "sv").mapInArrow(compare, "u long, v long")
+    return out.select("u", "v", "su", "sv").mapInArrow(tidy(compare), "u long, v long")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -404,7 +404,7 @@ def linked(members: DataFrame, roots: DataFrame, sigs: DataFrame, rows: DataFram
     best = materialize(best_partners(met(members, roots, sigs)))
     if best.isEmpty():
         return roots
-    pairs = materialize(best.groupBy(F.col("node").alias("u")).agg(F.max_by("partner", F.struct("est", "partner")).alias("v")))
+    pairs = materialize(best.groupBy(F.col("node").alias("u")).agg(F.max_by("partner", F.struct("est", "partner")).alias("v")), small=True)
     sets = full_sets(rows, best.select("node"))  # partners are nodes of the same group, so they are there too
     roots = merged(roots, confirmed(pairs, sets))
     brought = sets.filter(F.octet_length("shingles") <= 8 * BIG_SET)
@@ -427,7 +427,7 @@ def node_roots(nodes: DataFrame, members: DataFrame, rows: DataFrame) -> DataFra
     roots = linked(members.filter(F.col("size") <= CHUNK), roots, sigs, rows)
     large = members.filter(F.col("size") > CHUNK).select("bucket", "node")
     placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    left = materialize(placed.join(_mixed(placed), "bucket", "left_semi").select("node").distinct())
+    left = materialize(placed.join(_mixed(placed), "bucket", "left_semi").select("node").distinct(), small=True)
     if left.isEmpty():
         return roots
     sets = full_sets(rows, left)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, keyed, materialize, mix, reducers, table, tune
+from tidemark.llm.common import UID, keyed, materialize, mix, reducers, table, tidy, tune
 from tidemark.llm.line_dedup import texts_of
 from tidemark.llm.token_files import END_ID
 from tidemark.llm.tokens import path, pieces_of
@@ -86,7 +86,7 @@ def placed(rows: DataFrame, vocabulary: str, kind: str, end_id: int = END_ID) ->
             spread = (mix(batch.column(UID).to_numpy().astype(np.uint64)) >> np.uint64(64 - SPREAD)).astype(np.int64)
             yield pa.record_batch([batch.column(UID), batch.column("doc_id"), pa.array(n), pa.array([width] * len(n), pa.int32()), pa.array(ids, pa.binary()), pa.array((curve << SPREAD) | spread)], [UID, "doc_id", "n", "width", "ids", "key"])
 
-    return rows.mapInArrow(run, f"{UID} long, doc_id long, n long, width int, ids binary, key long")
+    return rows.mapInArrow(tidy(run, pieces=True), f"{UID} long, doc_id long, n long, width int, ids binary, key long")
 
 
 PIECES = f"{UID} long, doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -122,7 +122,7 @@ def pack(docs: DataFrame, vocabulary: str, kind: str, length: int = LENGTH, end_
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], [f.split()[0] for f in PIECES.split(", ")])
 
     dealt = all_ids.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "key", "doc_id", UID)
-    return dealt.mapInArrow(run, PIECES)
+    return dealt.mapInArrow(tidy(run), PIECES)
 
 
 def token_cuts(ids: DataFrame, buckets: int) -> list[int]:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, Words, buffers, covered, kept_bytes, keyed, mix, reducers, slices, table, tune, window_hashes, windows
+from tidemark.llm.common import UID, Words, buffers, covered, kept_bytes, keyed, mix, reducers, slices, table, tidy, tune, window_hashes, windows
 from tidemark.llm.packed import cut, cut_arrays, groups, repeated
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)
@@ -153,8 +153,8 @@ def _shared_anchors(rows: DataFrame, slots: int) -> DataFrame:
             for b in _by_row(base[hit] + row[hit], h[hit], 1):
                 yield pa.record_batch([b.column("uid"), b.column("data")], ["uid", "hits"])
 
-    sent = rows.select(UID, "text").mapInArrow(send, ROWS)
-    return sent.repartitionById(slots, "slot").mapInArrow(match, "uid long, hits binary")
+    sent = rows.select(UID, "text").mapInArrow(tidy(send), ROWS)
+    return sent.repartitionById(slots, "slot").mapInArrow(tidy(match), "uid long, hits binary")
 
 
 LOW48 = np.uint64((1 << 48) - 1)
@@ -229,8 +229,8 @@ def _earlier_windows(rows: DataFrame, hits: DataFrame, slots: int) -> DataFrame:
             for b in _by_row(r["uid"][later], r["h"][later], 1):
                 yield pa.record_batch([b.column("uid"), b.column("data")], ["uid", "hits"])
 
-    found = rows.join(_gathered(hits), UID).mapInArrow(send, ROWS)
-    return found.repartitionById(slots, "slot").mapInArrow(match, "uid long, hits binary")
+    found = rows.join(_gathered(hits), UID).mapInArrow(tidy(send), ROWS)
+    return found.repartitionById(slots, "slot").mapInArrow(tidy(match), "uid long, hits binary")
 
 
 def _gathered(hits: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 part = batch.slice(i, j - i)
                 yield pa.record_batch([part.column(UID), part.column("doc_id"), pa.array(w.count, pa.int64()), pa.array(removed, pa.int64()), pa.array(text, pa.binary()).cast(pa.string())], [UID, "doc_id", "n_words", "n_removed", "text"])
 
-    return rows.join(_gathered(earlier), UID, "left").mapInArrow(remove, OUT)
+    return rows.join(_gathered(earlier), UID, "left").mapInArrow(tidy(remove), OUT)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, keyed, materialize, table, tune
+from tidemark.llm.common import UID, keyed, materialize, table, tidy, tune
 from tidemark.llm.line_dedup import texts_of
 from tidemark.llm.tokens import path, pieces_of
 
@@ -47,7 +47,7 @@ def pre_token_counts(rows: DataFrame) -> DataFrame:
         if counts:
             yield flush()
 
-    return rows.select("text").mapInArrow(run, "pre_token binary, n long").groupBy("pre_token").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(tidy(run), "pre_token binary, n long").groupBy("pre_token").agg(F.sum("n").alias("n"))
 
 
 def with_pieces(counts: DataFrame, file: str) -> DataFrame:
@@ -60,7 +60,7 @@ def with_pieces(counts: DataFrame, file: str) -> DataFrame:
             n = [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             yield pa.record_batch([batch.column("pre_token"), batch.column("n"), pa.array(n, pa.int64())], ["pre_token", "n", "pieces"])
 
-    return counts.mapInArrow(run, "pre_token binary, n long, pieces long")
+    return counts.mapInArrow(tidy(run, pieces=True), "pre_token binary, n long, pieces long")
 
 
 def common_pre_tokens(pieces: DataFrame, head: int) -> dict[bytes, int]:
@@ -105,7 +105,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = LIMIT, head: int
                 ids += [d] + [None] * len(rest)
             yield pa.record_batch([pa.array(owner, pa.int64()), pa.array(keys, pa.binary()), *(pa.array(x, pa.int64()) for x in (counts, sums, sizes, ids))], [UID, "pre_token", "n", "known", "n_bytes", "doc_id"])
 
-    read = rows.mapInArrow(run, f"{UID} long, pre_token binary, n long, known long, n_bytes long, doc_id long")
+    read = rows.mapInArrow(tidy(run), f"{UID} long, pre_token binary, n long, known long, n_bytes long, doc_id long")
     joined = read.join(pieces.select("pre_token", "pieces"), "pre_token", "left")
     tokens = F.coalesce("known", F.col("n") * F.col("pieces"))
     total = joined.groupBy(UID).agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum(tokens).alias("n_tokens"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, drop_written, keyed, materialize, reducers, shared_dir, table, tune
+from tidemark.llm.common import UID, drop_written, keyed, materialize, reducers, shared_dir, table, tidy, tune
 from tidemark.llm.line_dedup import texts_of
 from tidemark.llm.tokens import path, pieces_of
 
@@ -48,7 +48,7 @@ def tokenized(rows: DataFrame, vocabulary: str, kind: str, end_id: int = END_ID)
             n = [len(x) // width for x in ids]
             yield pa.record_batch([batch.column(UID), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([width] * len(n), pa.int32()), pa.array(ids, pa.binary())], [UID, "doc_id", "n", "width", "ids"])
 
-    return rows.mapInArrow(run, f"{UID} long, doc_id long, n long, width int, ids binary")
+    return rows.mapInArrow(tidy(run, pieces=True), f"{UID} long, doc_id long, n long, width int, ids binary")
 
 
 def id_counts(ids: DataFrame) -> np.ndarray:
@@ -66,7 +66,7 @@ def id_counts(ids: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
-    rows = ids.select("width", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = ids.select("width", "ids").mapInArrow(tidy(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     at, n = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     out = np.zeros(int(at.max()) + 1 if len(at) else 1, np.int64)
     out[at] = n
@@ -194,7 +194,7 @@ def encoded(ids: DataFrame, lengths: np.ndarray, block_ids: int = BLOCK_IDS) ->
         if n:
             yield block()
 
-    return ids.repartitionByRange(reducers(ids), F.asc_nulls_first("doc_id"), F.asc(UID)).sortWithinPartitions(F.asc_nulls_first("doc_id"), UID).mapInArrow(run, BLOCKS)
+    return ids.repartitionByRange(reducers(ids), F.asc_nulls_first("doc_id"), F.asc(UID)).sortWithinPartitions(F.asc_nulls_first("doc_id"), UID).mapInArrow(tidy(run), BLOCKS)
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, kind: str, end_id: int = END_ID, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -237,7 +237,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

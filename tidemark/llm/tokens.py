@@ -148,7 +148,7 @@ class Pieces:
                 gc.enable()
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def pieces_of(file: str, kind: str) -> Pieces:
     """This worker's pieces of one vocabulary."""
     return Pieces(file, kind)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UID, Words, buffers, is_delimiter, keyed, materialize, mix, slices, span_hashes, table, tune
+from tidemark.llm.common import UID, Words, buffers, is_delimiter, keyed, materialize, mix, slices, span_hashes, table, tidy, tune
 
 FOLDS, SAMPLE, ERROR = 5, 20_000, 0.01
 STEMS = (4, 5, 6)
@@ -237,7 +237,7 @@ def _counts(rows: DataFrame, columns: int, count) -> DataFrame:
         if held:
             yield from flush()
 
-    out = rows.select("text", "toxic").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    out = rows.select("text", "toxic").mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names))
     return out.groupBy("arc").agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
@@ -377,7 +377,7 @@ def evidence(rows: DataFrame, arcs: Iterator[Arcs]) -> DataFrame:
             out[:, -2] = 100 * out[:, :2].sum(axis=1) / np.maximum(text.words.count, 20)
             yield pa.record_batch([part.column(UID), part.column("doc_id"), *(pa.array(c) for c in np.log1p(out).T)], [UID, "doc_id", *FEATURES])
 
-    return rows.mapInArrow(run, EVIDENCE)
+    return rows.mapInArrow(tidy(run), EVIDENCE)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], seeds: Arcs) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch, Text]]:
@@ -407,7 +407,7 @@ def _noted(rows: DataFrame, arcs: Arcs) -> DataFrame:
             edges = np.searchsorted(text.owner[at], np.arange(part.num_rows + 1))
             yield pa.record_batch([part.column(UID), part.column("doc_id"), part.column("text"), pa.array([notes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())], [UID, "doc_id", "text", "notes"])
 
-    return rows.mapInArrow(run, f"{UID} long, doc_id long, text string, notes binary")
+    return rows.mapInArrow(tidy(run), f"{UID} long, doc_id long, text string, notes binary")
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
