@@ -236,7 +236,7 @@ WITH d AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t
 w AS (SELECT doc_id, stratum, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
              [x FOR x IN string_split(t, chr(10)) IF translate(x, {_SPACES}, '') <> ''] AS l FROM d),
 p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM w),
-z AS (SELECT doc_id, i, hash(x, lead(x, 1) OVER a, lead(x, 2) OVER a) AS h, lead(x, 2) OVER a AS third FROM p WINDOW a AS (PARTITION BY doc_id ORDER BY i)),
+z AS (SELECT doc_id, i, concat_ws(' ', x, lead(x, 1) OVER a, lead(x, 2) OVER a) AS h, lead(x, 2) OVER a AS third FROM p WINDOW a AS (PARTITION BY doc_id ORDER BY i)),
 q AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, h) AS c FROM z WHERE third IS NOT NULL),
 r AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words
       FROM (SELECT doc_id, unnest([i, i+1, i+2]) AS j FROM q WHERE c >= 2) GROUP BY doc_id),

@@ -276,7 +276,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM w),
-z AS (SELECT doc_id, i, x, hash(x, lead(x, 1) OVER a, lead(x, 2) OVER a, lead(x, 3) OVER a, lead(x, 4) OVER a, lead(x, 5) OVER a, lead(x, 6) OVER a,
+z AS (SELECT doc_id, i, x, concat_ws(' ', x, lead(x, 1) OVER a, lead(x, 2) OVER a, lead(x, 3) OVER a, lead(x, 4) OVER a, lead(x, 5) OVER a, lead(x, 6) OVER a,
              lead(x, 7) OVER a, lead(x, 8) OVER a, lead(x, 9) OVER a, lead(x, 10) OVER a, lead(x, 11) OVER a, lead(x, 12) OVER a) AS h,
              lead(x, 12) OVER a IS NOT NULL AS whole FROM p WINDOW a AS (PARTITION BY doc_id ORDER BY i)),
 m AS (SELECT doc_id, i, x, whole AND min(doc_id) OVER (PARTITION BY h, whole) < doc_id AS later FROM z),
