@@ -188,7 +188,8 @@ def _earlier_windows(rows: DataFrame, hits: DataFrame, slots: int) -> DataFrame:
             later = r["doc"] > least
             yield from _by_row(r["uid"][later], r["h"][later], slots)
             first = r[~later]
-            found = [(s, 0, None, pack_records(part)) for s, part in cut_arrays(first["h"], first, slots)]
+            # in order of rows, so that compression finds what a document's records share
+            found = [(s, 0, None, pack_records(part[np.argsort(part["uid"], kind="stable")])) for s, part in cut_arrays(first["h"], first, slots)]
             for i in range(0, len(found), 256):
                 yield _rows(found[i : i + 256])
 
