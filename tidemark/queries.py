@@ -15,9 +15,12 @@ from tidemark.operators import backfill as B
 from tidemark.operators import ingest as I
 from tidemark.operators import reader as R
 from tidemark.operators import retention as T
-from tidemark.operators.migrate import with_source
+from tidemark.operators.migrate import report, with_source
+from tidemark.operators.pull import Puller
+from tidemark.operators.state import StateStore
 from tidemark.session import prepare
 from tidemark.sources.raw import LAYOUT, completed, land, raw_files, raw_lines, with_partition
+from tidemark.sources.socket import LOST, MADE, feed_source
 from tidemark.sources.store import exists, scratch, write_parts
 from tidemark.streaming import ingest as S
 
@@ -610,3 +613,130 @@ def hourly_volume(spark, sf_dir):
 @query("message_sessions", f"WITH {_TICKS}, s AS (SELECT w, sum(CASE WHEN w - coalesce(a, 0) >= 1800000000000 THEN 1 ELSE 0 END) OVER (ORDER BY w) AS k FROM (SELECT w, lag(w) OVER (ORDER BY w) AS a FROM e)) SELECT min(w) // 1000 AS start_us, max(w) // 1000 + 1800000000 AS end_us, count(*) AS n FROM s GROUP BY k")
 def message_sessions(spark, sf_dir):
     return S.sessions(ticks(spark, sf_dir)).select(F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
+# --- sources and sinks, over stored logs and services in memory --------------------------------
+
+
+@query("raw_discovery", f"WITH {_LOG_SQL} SELECT DISTINCT path, '2024-01-01' AS date, substr(path, 16, 2) AS hour FROM l")
+def raw_discovery(spark, sf_dir):
+    return raw_files(spark, _log_store(spark, sf_dir)[0]).select(_log_path(F.col("path")).alias("path"), "date", "hour")
+
+
+@query("numbered_lines", f"WITH {_LOG_SQL} SELECT path, line_number, CASE WHEN event_id % 12 < 4 THEN outcome END AS type FROM l")
+def numbered_lines(spark, sf_dir):
+    return I.classify(raw_lines(spark, _log_store(spark, sf_dir)[0])).select(_log_path(F.col("path")).alias("path"), "line_number", "type")
+
+
+@query(
+    "stored_rows",
+    f"WITH {_TRADES}, {_GAPS} SELECT 'ticker' AS type, strftime(make_timestamp_ns(w), '%Y-%m-%d') AS date, count(*) AS n FROM e GROUP BY ALL UNION ALL SELECT 'trade', strftime(make_timestamp_ns(ts_wall), '%Y-%m-%d'), count(*) FROM t GROUP BY ALL"
+    " UNION ALL SELECT 'gap', strftime(make_timestamp_ns(gap_end_wall), '%Y-%m-%d'), count(*) FROM g GROUP BY ALL",
+)
+def stored_rows(spark, sf_dir):
+    reader = _reader(spark, sf_dir)
+    counts = [reader.table(name).groupBy(F.lit(name).alias("type"), F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n")) for name in ("ticker", "trade", "gap")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("stored_parts", f"WITH {_TRADES} SELECT DISTINCT strftime(make_timestamp_ns(ts_wall), '%Y-%m-%d') AS date, 'backfill_' || left(sha1(split_part(market_ticker, '-', 1)), 16) || '_00000' AS part FROM t WHERE source = 'backfill'")
+def stored_parts(spark, sf_dir):
+    return _reader(spark, sf_dir).table("trade", "backfill_").select(F.col("date").cast("string").alias("date"), "part").distinct()
+
+
+@query("migrate_report", f"WITH {_TRADES} SELECT count(*) AS total_rows, count(*) FILTER (coalesce(ts_ns, 0) = 0) AS sentinel_rows FROM t")
+def migrate_report(spark, sf_dir):
+    return report(trades(spark, sf_dir).withColumn("ts_ns", F.coalesce("ts_ns", F.lit(0).cast("bigint"))))
+
+
+@query("feed_filter", f"WITH {_TICKS} SELECT event_id, event_id % 3 = 0 AS control FROM e WHERE event_id % 3 = 0 OR starts_with(market_ticker, 'CL') OR starts_with(market_ticker, 'VIEW-1')")
+def feed_filter(spark, sf_dir):
+    named = F.to_json(F.struct(F.lit("trade").alias("type"), F.struct("market_ticker").alias("msg")))
+    messages = ticks(spark, sf_dir).select(F.col("ts_ns").alias("event_id"), (F.col("ts_ns") % 3 == 0).alias("control"), F.when(F.col("ts_ns") % 3 == 0, '{"type":"ok"}').otherwise(named).alias("raw"))
+    return S.wanted(messages, ["CL", "VIEW-1"]).drop("raw")
+
+
+@query(
+    "market_meta",
+    "SELECT c_mktsegment || '-' || CAST(c_custkey AS VARCHAR) AS ticker, c_mktsegment AS series, nullif(CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE '' END, '') AS title, CAST(7 AS BIGINT) AS discovered_ts_ns FROM customer",
+)
+def market_meta(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    names = ("event_ticker", "market_type", "status", "result", "open_time", "close_time", "expiration_time")
+    markets = c.select(F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string")).alias("ticker"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise("").alias("title"), *[F.lit("").alias(n) for n in names])
+    return B.market_meta(markets, 7).select("ticker", "series", "title", "discovered_ts_ns")
+
+
+@query("census_file", f"WITH {_CENSUS_SQL} SELECT series, est_tradeable, round(mean_vol, 4) AS mean_vol FROM c")
+def census_file(spark, sf_dir):
+    folder = _once(spark, sf_dir, "census", lambda root: _census(spark, sf_dir).agg(F.to_json(F.array_sort(F.collect_list(F.struct("series", "total", "est_tradeable", "mean_vol")))).alias("value")).write.text(root))
+    return B.census(spark, folder).select("series", "est_tradeable", F.round("mean_vol", 4).alias("mean_vol"))
+
+
+def _service(path: str, params: dict) -> tuple[int, dict, dict]:
+    """A service whose market `N-<k>` has k trades, seven to a page; those whose k ends in 9 fail after their first page."""
+    at = int(params.get("cursor") or 0)
+    if path == "/markets":
+        found = [k for k in range(25) if k % 2 == (params["status"] == "closed")]
+        return 200, {}, {"markets": [{"ticker": f"N-{k}", "volume_fp": f"{k}.00"} for k in found[at : at + 4]], "cursor": str(at + 4) if at + 4 < len(found) else ""}
+    k = int(params["ticker"].split("-")[1])
+    if k % 10 == 9 and at:
+        return 404, {}, {}
+    rows = [{"trade_id": f"{k}-{i}", "created_time": "2024-01-01T00:00:00Z", "yes_price_dollars": "0.5", "no_price_dollars": "0.5", "count_fp": "1.00", "taker_side": "yes"} for i in range(at, min(at + 7, k))]
+    return 200, {}, {"trades": rows, "cursor": str(at + 7) if at + 7 < k else ""}
+
+
+def _pulled(spark: SparkSession, sf_dir: str) -> str:
+    """A store that a history pull has filled from the service."""
+
+    def make(root: str) -> None:
+        puller = Puller(spark, f"{root}/out", StateStore(spark, f"{root}/state"), _service, say=lambda text: None, wave=10)
+        puller.discover()
+        puller.pull(B.to_pull(puller.state.table("markets")))
+
+    return _once(spark, sf_dir, "pulled", make)
+
+
+_PULLED_SQL = "n AS (SELECT CAST(n_nationkey AS BIGINT) AS k, n_nationkey % 10 = 9 AND n_nationkey > 7 AS broke FROM nation)"
+
+
+@query(
+    "pull_state",
+    f"WITH {_PULLED_SQL} SELECT 'N-' || CAST(k AS VARCHAR) AS ticker, CASE WHEN broke THEN 'failed' ELSE 'complete' END AS status, CASE WHEN broke THEN 7 ELSE k END AS trades, CASE WHEN broke THEN 1 ELSE greatest(1, CAST(ceil(k / 7.0) AS BIGINT)) END AS pages, CASE WHEN broke THEN '7' END AS cursor FROM n",
+)
+def pull_state(spark, sf_dir):
+    return StateStore(spark, f"{_pulled(spark, sf_dir)}/state").table("markets").select("ticker", "status", "trades", "pages", "cursor")
+
+
+@query("pull_trades", f"WITH {_PULLED_SQL} SELECT 'N-' || CAST(k AS VARCHAR) AS market_ticker, CASE WHEN broke THEN 7 ELSE k END AS n, CAST(CASE WHEN broke THEN 7 ELSE k END * 100 AS BIGINT) AS count_fp FROM n WHERE k > 0")
+def pull_trades(spark, sf_dir):
+    rows = R.Reader(spark, f"{_pulled(spark, sf_dir)}/out").table("trade", "backfill_")
+    return rows.groupBy("market_ticker").agg(F.count("*").alias("n"), F.sum("count_fp").alias("count_fp"))
+
+
+@query("pull_discovery", "SELECT * FROM (VALUES ('settled', true, 4), ('closed', true, 3)) x(scope, done, pages)")
+def pull_discovery(spark, sf_dir):
+    return StateStore(spark, f"{_pulled(spark, sf_dir)}/state").table("discovery").select("scope", "done", F.col("pages").cast("int").alias("pages"))
+
+
+def _feed(at: int):
+    """A message a second for 25 seconds; after every fifth the connection is lost for half a second."""
+    events = []
+    for i in range(25):
+        events.append((i, i * 10**9, f'{{"type":"m","i":{i}}}'))
+        if i % 5 == 4:
+            events += [(i, i * 10**9 + 1, LOST), (i, i * 10**9 + 500_000_000, MADE)]
+    return iter(events[at : at + 4])  # four events a batch: outages cross batches
+
+
+@query("feed_lines", "SELECT CAST(n_nationkey AS BIGINT) * 1000000000 AS ts_wall, false AS gap, CAST(NULL AS BIGINT) AS gap_start_wall FROM nation UNION ALL SELECT CAST(n_nationkey AS BIGINT) * 1000000000 + 500000000, true, CAST(n_nationkey AS BIGINT) * 1000000000 + 1 FROM nation WHERE n_nationkey % 5 = 4")
+def feed_lines(spark, sf_dir):
+    def make(root: str) -> None:
+        spark.dataSource.register(feed_source(_feed))
+        stream = S.write_raw(spark.readStream.format("tick_feed").load(), f"{root}/raw", f"{root}/checkpoint", processingTime="0 seconds")
+        stream.processAllAvailable()
+        stream.stop()
+
+    lines = raw_lines(spark, f"{_once(spark, sf_dir, 'feed', make)}/raw")
+    found = lambda name: F.get_json_object("line", f"$.{name}")
+    return lines.select(found("ts_wall").cast("bigint").alias("ts_wall"), found("marker").isNotNull().alias("gap"), found("gap_start_wall").cast("bigint").alias("gap_start_wall"))
