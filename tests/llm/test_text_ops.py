@@ -247,6 +247,16 @@ def test_toxicity_without_labels(spark, docs, empty):
 # --- 2 ---
 
 
+def test_anchors_are_packed():
+    rng = np.random.default_rng(4)
+    for n, bits in ((0, 48), (1, 48), (3, 48), (3, 20), (50_000, 48)):
+        h, row = rng.integers(0, 1 << bits, n).astype(np.uint64), rng.integers(0, 1 << 16, n).astype(np.uint16)
+        data = substring_dedup.pack_anchors(h, row)
+        back = substring_dedup.unpack_anchors(data)
+        assert sorted(zip(*(x.tolist() for x in back))) == sorted(zip(h.tolist(), row.tolist()))
+        assert len(data) == 1 + n * (8 if n == 3 and bits == 48 or n == 1 else 7)
+
+
 def test_substring_dedup(docs):
     texts = texts_of(docs)
     windows = {d: [tuple(w[i : i + 13]) for i in range(len(w) - 12)] for d, w in ((d, WORD.findall(t)) for d, t in texts.items())}

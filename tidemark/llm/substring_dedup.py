@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import UID, Words, buffers, covered, kept_bytes, keyed, mix, reducers, slices, table, tidy, tune, window_hashes, windows
-from tidemark.llm.packed import cut, cut_arrays, groups, repeated
+from tidemark.llm.packed import cut_arrays, groups, repeated
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
@@ -41,6 +41,7 @@ RECORD = np.dtype([("h", "<u8"), ("g", "<u4"), ("doc", "<i8"), ("uid", "<i8")])
 #: small inputs and many for large ones would change the number of rows per document.
 LEAST_SLOTS = 64
 MANY = np.uint16(0xFFFF)
+LOW48 = np.uint64((1 << 48) - 1)
 
 
 def _cover_positions(w: Words) -> np.ndarray:
@@ -80,6 +81,22 @@ def unpack_records(data: bytes) -> np.ndarray:
     return out
 
 
+def pack_anchors(h: np.ndarray, row: np.ndarray) -> bytes:
+    """48-bit hashes with their rows (16 bits): hashes in order, as steps of 5 bytes, or of 6 if one of them needs it; the first byte says which."""
+    order = np.argsort(h, kind="stable")
+    steps = np.diff(h[order], prepend=np.uint64(0)).astype("<u8")
+    width = 5 if not len(steps) or steps.max() < 1 << 40 else 6
+    return bytes([width]) + steps[:, None].view(np.uint8)[:, :width].tobytes() + row[order].astype("<u2").tobytes()
+
+
+def unpack_anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    width = data[0]
+    n = (len(data) - 1) // (width + 2)
+    raw = np.zeros((n, 8), np.uint8)
+    raw[:, :width] = np.frombuffer(data, np.uint8, n * width, 1).reshape(n, width)
+    return np.cumsum(raw.view("<u8")[:, 0], dtype=np.uint64), np.frombuffer(data, "<u2", n, 1 + n * width)
+
+
 def _by_row(uid: np.ndarray, h: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
     """Rows that are settled: hashes by row key, passed through the shuffle in any slot."""
     order = np.argsort(uid, kind="stable")
@@ -108,10 +125,8 @@ def _shared_anchors(rows: DataFrame, slots: int) -> DataFrame:
             size = np.diff(np.append(starts, len(h)))
             many = repeated(size > 1, starts, len(h))
             yield from _by_row(row[many] + base, h[many], slots)
-            out = np.empty(len(starts), [("h", "<u8"), ("row", "<u2")])
-            out["h"], out["row"] = h[starts], np.where(size > 1, MANY, row[starts].astype(np.uint16))
-            packed = np.concatenate((out["h"][:, None].view(np.uint8)[:, :6], out["row"][:, None].copy().view(np.uint8)), axis=1)
-            found = [(s, base, None, data) for s, data in cut(h[starts], packed, slots)]
+            of = np.where(size > 1, MANY, row[starts].astype(np.uint16))
+            found = [(s, base, None, pack_anchors(h[starts][at] & LOW48, of[at])) for s, at in cut_arrays(h[starts], np.arange(len(starts)), slots)]
             for i in range(0, len(found), 256):
                 yield _rows(found[i : i + 256])
 
@@ -139,12 +154,10 @@ def _shared_anchors(rows: DataFrame, slots: int) -> DataFrame:
                 yield pa.record_batch([settled.column("uid"), settled.column("data")], ["uid", "hits"])
             open_ = batch.filter(pc.is_null(batch.column("uid")))
             for s, base, data in zip(open_.column("slot").to_pylist(), open_.column("base").to_pylist(), open_.column("data").to_pylist()):
-                slot.setdefault(s, []).append((base, np.frombuffer(data, np.uint8).reshape(-1, 8)))
+                slot.setdefault(s, []).append((base, *unpack_anchors(data)))
         for parts in slot.values():
-            raw = np.concatenate([x for _, x in parts])
-            h = (raw[:, :6].astype(np.uint64) << (np.arange(6, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
-            row = raw[:, 6:].copy().view("<u2")[:, 0]
-            base = np.repeat(np.array([b for b, _ in parts]), [len(x) for _, x in parts])
+            h, row = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+            base = np.repeat(np.array([p[0] for p in parts]), [len(p[1]) for p in parts])
             order = np.argsort(h, kind="stable")
             h, row, base = h[order], row[order], base[order]
             starts = groups(h)
@@ -157,9 +170,6 @@ def _shared_anchors(rows: DataFrame, slots: int) -> DataFrame:
     return sent.repartitionById(slots, "slot").mapInArrow(tidy(match), "uid long, hits binary")
 
 
-LOW48 = np.uint64((1 << 48) - 1)
-
-
 def _candidates(w: Words, h: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows that hold one of the shared anchors (all of a batch's texts: a filter)."""
     at, a = anchors(w, h)
