@@ -846,6 +846,15 @@ def test_html_table(spark):
     assert [r.text for r in html_text.extract_text(rows).orderBy(F.desc("page_id")).collect()][1] == ""
 
 
+def test_html_of_odd_tables(spark):
+    """No rows; rows with the same or no id, with extra columns whose names clash."""
+    schema = "page_id long, url string, html string, text int, n_chars string, `__row` string"
+    assert html_text.extract_text(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, None, "<p>a b.</p>", 1, "x", "y"), (1, "u", "<p>a b.</p>", 1, "x", "y"), (None, None, "", 1, "x", "y"), (2, "u", " ", None, None, None)]
+    found = html_text.extract_text(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.page_id or 0, r.url or "", r.text) for r in found) == [(0, "", ""), (1, "", "a b."), (1, "u", "a b."), (2, "u", "")]
+
+
 # --- 8 ---
 
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -957,6 +966,17 @@ def test_longest_matches(spark, tmp_path, monkeypatch, block):
     assert sorted(tuple(r) for r in found if r.item_id) == [(3, "nine", 0, 1, 250), (3, "ten", 1, 201, 50)]
 
 
+def test_decontamination_of_odd_tables(spark, docs, empty):
+    """No documents, no items, items without words; extra columns whose names clash."""
+    none = spark.createDataFrame([], "item_id long, text string")
+    for bench in (none, spark.createDataFrame([(1, None), (2, "!?"), (None, "")], "item_id long, text string")):
+        assert decontamination.longest_matches(empty, bench).count() == 0 and decontamination.longest_matches(docs, bench).count() == 0
+        assert decontamination.decontaminate(docs, bench).count() == docs.count()
+    clash = docs.withColumns({"n_hit": F.lit("x"), "items": F.lit(1), "matches": F.lit(None).cast("string")})
+    kept = decontamination.decontaminate(clash, spark.createDataFrame([("i", "abc")], "item_id string, text string"))
+    assert kept.columns == clash.columns and kept.schema == clash.schema
+
+
 # --- 9 ---
 
 
@@ -975,6 +995,12 @@ def test_line_dedup(docs, empty, monkeypatch, bound):
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def test_line_dedup_keeps_columns(docs, empty):
+    out = line_dedup.without_repeated_lines(docs.withColumns({"n_lines": F.lit("x"), "lines": F.lit(2), "shard": F.lit(None).cast("string")}), 3)
+    assert out.columns == [*docs.columns, "n_lines", "lines", "shard"] and out.count() == docs.count() and {r.n_lines for r in out.collect()} == {"x"}
+    assert line_dedup.without_repeated_lines(empty).count() == 0
+
+
 def test_line_dedup_is_reversible(spark, tmp_path):
     a = frame(spark, tmp_path, ["same line\nx", "same line\ny"], [1, 2])
     b = frame(spark, tmp_path, ["Same line \nz"], [3])
