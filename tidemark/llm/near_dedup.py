@@ -201,19 +201,26 @@ def hub_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
 
 
 def met(members: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Rows (bucket, low, high, own, node, root, sig) of buckets with two components or more, a group for each pair of chunks (of most buckets: one)."""
-    placed = members.select("bucket", "node", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    alive = placed.join(_mixed(placed), "bucket").withColumns({"chunks": chunks, "own": own})
-    # every chunk meets every other, and itself
-    pairs = alive.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    """Rows (bucket, low, high, own, node, root, sig) of buckets with two components or more, a group for each pair of chunks (of most buckets: one).
+
+    Nodes of a bucket's largest component can only be linked to its other nodes. So these have the first chunks, the largest component has the
+    others, and no pair of the latter is made: with few nodes outside, a large bucket costs little more than its size."""
+    placed = members.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    alive = placed.join(_mixed(placed), "bucket")
+    chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    one, outside = F.col("size") <= CHUNK, F.col("root") != F.col("largest")
+    alive = alive.withColumns({"before": F.when(one, 1).otherwise(chunks(F.col("size") - F.col("most"))), "after": F.when(one, 0).otherwise(chunks(F.col("most")))})
+    own = F.when(one, 0).when(outside, F.pmod(F.xxhash64("node"), F.col("before"))).otherwise(F.col("before") + F.pmod(F.xxhash64("node"), F.col("after"))).cast("int")
+    last = F.when(one, 0).when(outside, F.col("before") + F.col("after") - 1).otherwise(F.col("before") - 1)
+    pairs = alive.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     return pairs.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root").join(sigs, "node").select(*GROUP, "own", "node", "root", "sig")
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
-    """(bucket) of rows (bucket, root): those with two components or more, as a written table."""
-    return materialize(placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket"), small=True)
+    """(bucket, largest, most, size) of rows (bucket, root): buckets with two components or more, their largest one, its nodes and all nodes, as a written table."""
+    counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    found = counts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("size"), F.count("*").alias("roots"))
+    return materialize(found.filter("roots > 1").drop("roots"), small=True)
 
 
 GROUP = ["bucket", "low", "high"]
