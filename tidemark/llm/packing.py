@@ -5,8 +5,8 @@ the Hilbert key of that point on a grid. Documents that lie near each other on t
 by side: laid end to end along the curve and cut every `length` tokens, so that only the very last
 sequence of the corpus has padding.
 
-The curve is cut into buckets at quantiles of the keys, weighted by tokens, so that buckets hold about as many tokens
-each, however long documents crowd in places. A light pass over (key, length) sums the tokens of each bucket, so
+The curve is cut into buckets at quantiles of the keys, weighted by tokens and rows, so that buckets are about as much work
+each, however long or short documents crowd in places. A light pass over (key, length) sums the tokens of each bucket, so
 a bucket knows its first position and is packed on its own. Low bits of the sort key come from a hash of the
 row, so a large group of equal texts spreads over buckets.
 
@@ -33,6 +33,8 @@ from tidemark.llm.tokens import path, pieces_of
 LENGTH = 2048
 #: 3 x 14 bits of Hilbert key and 11 bits of row hash: 53 bits, which quantiles in doubles keep exactly.
 DIMS, BITS, SPREAD = 3, 14, 11
+#: Tokens that are as much work as a row itself.
+ROW_TOKENS = 100
 
 
 def hilbert_keys(axes: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -126,14 +128,15 @@ def pack(docs: DataFrame, vocabulary: str, kind: str, length: int = LENGTH, end_
 
 
 def token_cuts(ids: DataFrame, buckets: int) -> list[int]:
-    """Keys that part the curve into `buckets` parts of about as many tokens, in order.
+    """Keys that part the curve into `buckets` parts of about as much weight (tokens, and `ROW_TOKENS` for the row itself), in order.
 
-    A row counts once for every `unit` tokens, the rest by a chance that its row key decides, so the weights add up to the tokens."""
+    A row counts once for every `unit` of its weight, the rest by a chance that its row key decides, so the counts add up to the weight."""
     if buckets <= 1:
         return []
-    total = ids.agg(F.sum("n")).first()[0] or 0
+    weight = F.col("n") + ROW_TOKENS
+    total = ids.agg(F.sum(weight)).first()[0] or 0
     unit = max(1, min(1024, total // (64 * buckets)))
-    times = F.floor(F.col("n") / unit + F.pmod(F.xxhash64(UID), F.lit(4096)) / 4096.0).cast("int")
+    times = F.floor(weight / unit + F.pmod(F.xxhash64(UID), F.lit(4096)) / 4096.0).cast("int")
     weighted = ids.select("key", F.explode(F.array_repeat(F.lit(0), times)))
     return sorted({int(k) for k in weighted.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.25 / buckets)})
 
