@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_text, line_dedup, near_dedup, packing, quality, queries, substring_dedup, token_counts, token_files, tokens, toxicity
+from tidemark.llm import common, decontamination, html_text, line_dedup, near_dedup, packing, quality, queries, substring_dedup, token_counts, token_files, tokens, toxicity
 from tidemark.llm.common import Words, buffers, covered, slices, window_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -545,6 +545,17 @@ def test_pieces_are_forgotten(monkeypatch):
     assert [pieces.encode([t])[0] for t in texts] == pieces.library([t.decode() for t in texts])
 
 
+def test_mean_vectors(monkeypatch):
+    rng = np.random.default_rng(2)
+    n = np.array([1, 5, 400, 2, 63, 64, 129])
+    flat = rng.integers(0, 500, n.sum())
+    h = common.mix(np.arange(500, dtype=np.uint64) + np.uint64(1))
+    wanted = np.array([[np.mean([((int(h[i]) >> (7 * d)) & 1) * 2 - 1 for i in part]) for part in np.split(flat, np.cumsum(n)[:-1])] for d in range(3)])
+    assert np.allclose(packing.means(packing.signs(500), flat, n), wanted, atol=1e-12)
+    monkeypatch.setattr(packing, "FIELD", 6)  # documents of more than 63 ids are summed in parts
+    assert np.allclose(packing.means(packing.signs(500), flat, n), wanted, atol=1e-12)
+
+
 def test_code_lengths():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 233], np.int64)
     free, short = token_files.code_lengths(counts, 16), token_files.code_lengths(counts, 5)

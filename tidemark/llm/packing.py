@@ -64,10 +64,28 @@ def hilbert_keys(axes: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+#: Bits of a field in a packed sum of signs; longer documents are summed in parts.
+FIELD = 21
+
+
 def signs(ids: int, dims: int = DIMS) -> np.ndarray:
-    """A fixed +-1 vector for each token id, from a hash."""
+    """For each token id, which of its hashed +-1 entries are +1: a field of a 64-bit integer each."""
     h = mix(np.arange(ids, dtype=np.uint64) + np.uint64(1))
-    return np.stack([((h >> np.uint64(7 * d)) & np.uint64(1)).astype(np.float32) * 2 - 1 for d in range(dims)])
+    return sum((((h >> np.uint64(7 * d)) & np.uint64(1)) << np.uint64(FIELD * d)).astype(np.int64) for d in range(dims))
+
+
+def means(table: np.ndarray, flat: np.ndarray, n: np.ndarray, dims: int = DIMS) -> np.ndarray:
+    """Mean vectors (dims x documents) of documents of n > 0 ids each, laid end to end in `flat`."""
+    first, most = np.cumsum(n) - n, (1 << FIELD) - 1
+    if n.max() > most:  # cut at `most` ids, then add the parts up
+        parts = -(-n // most)
+        of = np.repeat(np.arange(len(n)), parts)
+        first = first[of] + (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * most
+    sums = np.add.reduceat(table[flat], first)
+    plus = np.stack([(sums >> (FIELD * d)) & most for d in range(dims)])
+    if len(first) > len(n):
+        plus = np.stack([np.bincount(of, p, len(n)) for p in plus])
+    return (2 * plus - n) / n
 
 
 def placed(rows: DataFrame, vocabulary: str, kind: str, end_id: int = END_ID) -> DataFrame:
@@ -82,8 +100,7 @@ def placed(rows: DataFrame, vocabulary: str, kind: str, end_id: int = END_ID) ->
                 continue
             ids = [x + end for x in pieces.encode(texts_of(batch))]
             n = np.array([len(x) // width for x in ids], np.int64)
-            flat, first = np.frombuffer(b"".join(ids), pieces.dtype), np.concatenate(([0], np.cumsum(n)[:-1]))
-            mean = np.stack([np.add.reduceat(v[flat], first, dtype=np.float64) for v in vectors]) / n
+            mean = means(vectors, np.frombuffer(b"".join(ids), pieces.dtype), n)
             curve = hilbert_keys(np.minimum(((mean + 1) * (1 << (BITS - 1))).astype(np.int64), (1 << BITS) - 1))
             spread = (mix(batch.column(UID).to_numpy().astype(np.uint64)) >> np.uint64(64 - SPREAD)).astype(np.int64)
             yield pa.record_batch([batch.column(UID), batch.column("doc_id"), pa.array(n), pa.array([width] * len(n), pa.int32()), pa.array(ids, pa.binary()), pa.array((curve << SPREAD) | spread)], [UID, "doc_id", "n", "width", "ids", "key"])
