@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 #: Name of the internal row key; operators never let it reach their results.
 UID = "__row"
 #: Rows and bytes of one Arrow batch sent to Python: bounds a worker's memory whatever the texts' lengths.
-BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 2 << 20
 #: Text bytes that one kernel call works on at a time (a single longer text is one call).
 SLICE_BYTES = 2 << 20
 #: Input bytes per reducer of the packed shuffles.

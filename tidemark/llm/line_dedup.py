@@ -37,7 +37,7 @@ MIN_DOCS, MIN_KEY_CHARS = 10, 1
 FILTER_BROADCAST_BYTES = 64 << 20
 BYTES_PER_SHARD = 256 << 20
 #: Keys that a task counts before it passes them on.
-COUNTED_KEYS = 200_000
+COUNTED_KEYS = 100_000
 HOT_SALTS = 8
 REFS = "shard int, key binary, docs long"
 
