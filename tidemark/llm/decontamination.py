@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import UID, Words, buffers, carried, is_delimiter, keyed, materialize, restored, slices, table, tidy, tune, with_fields
 
 WINDOW = 13
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Benchmark words (8 bytes each) that are broadcast at once, and suffixes that are searched at once in a task.
 BLOCK_WORDS, SEARCHED = 1_000_000, 100_000
 #: A document is contaminated if its hit words are at least this share (one in so many).
