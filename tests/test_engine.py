@@ -10,7 +10,7 @@ from tidemark.operators import ingest as I
 from tidemark.operators import migrate, retention
 from tidemark.operators.reader import CoverageError, Reader, SchemaError
 from tidemark.plans.datasets import DATASETS
-from tidemark.sources.raw import completed, raw_files, raw_lines
+from tidemark.sources.raw import completed, land, raw_files, raw_lines
 
 WALL = 1704067200_000_000_000  # 2024-01-01
 
@@ -86,6 +86,16 @@ def test_lines_are_numbered(spark, store):
     assert sorted(r.line_number for r in lines.collect()) == [1, 2, 3, 4, 5, 7]
 
 
+@pytest.mark.parametrize("date, hour", [("'2024-01-01'", "lpad(string(at % 3), 2, '0')"), ("'2024-01-0' || string(at % 2 + 1)", "nullif(lpad(string(at % 3), 2, '0'), '')")], ids=["one date", "two dates"])
+def test_landed_lines_are_in_order(spark, tmp_path, date, hour):
+    at = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("at"))  # neither a split nor the splits are in order
+    land(at.select(F.expr(date).alias("date"), F.expr(hour).alias("hour"), F.col("at").cast("string").alias("line"), "at"), str(tmp_path / "raw"))
+    found = {}
+    for r in raw_lines(spark, str(tmp_path / "raw")).orderBy("path", "line_number").collect():
+        found.setdefault(r.path, []).append(int(r.line))
+    assert sum(map(len, found.values())) == 5000 and len(found) > 1 and all(x == sorted(x) for x in found.values())
+
+
 def test_compaction_twice_is_once(spark, store):
     raw, out, compactor = store
     result = compactor.run()

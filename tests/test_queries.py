@@ -32,6 +32,16 @@ def test_query_equals_sql(spark, sql, name):
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(columns, wanted.fetchall())
 
 
+@pytest.mark.parametrize("name", ["numbered_lines"])
+def test_line_numbers_of_events_in_many_splits(spark, tmp_path, name):
+    spark.read.parquet(f"{DATA}/events.parquet").repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    found, wanted = QUERIES[name](spark, str(tmp_path)), con.execute(ORACLES[name])
+    columns = [d[0] for d in wanted.description]
+    assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(columns, wanted.fetchall())
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

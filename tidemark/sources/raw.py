@@ -40,7 +40,10 @@ def land(lines: DataFrame, root: str, segment: str = "") -> list[str]:
     spark = lines.sparkSession
     staged = f"{root}/_landing/{uuid.uuid4().hex}"
     try:
-        ordered = lines.repartition("date", "hour").sortWithinPartitions("date", "hour", "at")
+        # The writer sorts by date and hour, and Spark drops the sort below if it doesn't begin with both. A constant is struck from it, so they
+        # come out of a generator: nothing that the optimizer knows of its input passes one
+        opaque = lines.select(F.inline(F.array(F.struct("date", "hour", "at", "line"))))
+        ordered = opaque.repartition("date", "hour").sortWithinPartitions("date", "hour", "at")
         ordered.select("date", "hour", F.col("line").alias("value")).write.partitionBy("date", "hour").option("compression", "gzip").text(staged)
         out = []
         for path in files_below(spark, staged, ".gz"):  # one per hour
