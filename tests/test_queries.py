@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, sql, name):
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(columns, wanted.fetchall())
 
 
-@pytest.mark.parametrize("name", ["numbered_lines"])
+@pytest.mark.parametrize("name", ["numbered_lines", "stored_rejects"])
 def test_line_numbers_of_events_in_many_splits(spark, tmp_path, name):
     spark.read.parquet(f"{DATA}/events.parquet").repartition(5).write.parquet(str(tmp_path / "events.parquet"))
     con = duckdb.connect()
