@@ -446,6 +446,43 @@ def test_near_dedup_of_large_buckets(spark, tmp_path, monkeypatch):
     assert len({c for _, c in wanted.values()}) > 30
 
 
+def test_full_sets_travel_to_hopeful_groups_only(spark, tmp_path, monkeypatch):
+    """Documents whose similarity (0.66) passes the estimate, but not the threshold, and a pair that passes both: no group gets the sets of the former."""
+    rng, sent = random.Random(5), []
+    free = lambda n: [f"f{rng.randint(0, 10**9)}" for _ in range(n)]
+    template = free(200)
+    pair = free(300)
+    texts = [" ".join(template + free(50)) for _ in range(30)] + [" ".join(pair[:280]), " ".join(pair[:280] + free(20)), " ".join(pair[:260])]
+    whole = near_dedup.links_in_place
+    monkeypatch.setattr(near_dedup, "links_in_place", lambda groups: sent.extend(r.node for r in groups.filter("shingles is not null").collect()) or whole(groups))
+    df = frame(spark, tmp_path, texts)
+    found = near_dedup.near_groups(near_dedup.keyed(df, "doc_id", "text"), 4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_groups(texts_of(df))
+    assert len(set(sent)) <= 3
+
+
+@pytest.mark.parametrize("short", [50, 100, 1000])
+def test_prints_lose_no_pair(spark, monkeypatch, short):
+    monkeypatch.setattr(near_dedup, "SHORT_SET", short)
+    rng = np.random.default_rng(short)
+    sets, links = [], set()
+    for _ in range(30):
+        n = int(rng.integers(20, 200))
+        first = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        m = int(n * rng.uniform(0.8, 0.9))  # a pair at 0.67 to 0.81, or of different sizes
+        sets += [np.unique(first), np.unique(np.concatenate((first[:m], rng.integers(0, 2**63, int(rng.choice([0, n - m]))).astype(np.uint64))))]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= near_dedup.PERCENT * (len(a) + len(b) - both):
+                links |= {i, j}
+    known = near_dedup.prints(spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets) if i != 3], "node long, shingles binary"))
+    group = spark.createDataFrame([(1, 0, 0, 0, i, i, bytearray(80)) for i in range(len(sets))] + [(2, 0, 0, 0, i, i, bytearray(80)) for i in range(4, len(sets))], "bucket long, low int, high int, own int, node long, root long, sig binary")
+    found = near_dedup.hopeful(group.join(known, "node", "left")).collect()
+    assert {r.node for r in found if r.bucket == 1} == set(range(len(sets)))  # a set without a print may have any partner
+    assert {r.node for r in found if r.bucket == 2} == {x for x in links if x > 3} and 10 < len(links) < len(sets)
+
+
 @pytest.mark.parametrize("counters", [64, 1 << 16])
 def test_rare_shingles_lose_no_pair(spark, counters):
     rng = np.random.default_rng(3)

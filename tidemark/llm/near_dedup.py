@@ -43,6 +43,8 @@ PERMUTATIONS = ROWS * BANDS
 LEAST_ESTIMATE = 0.55
 #: Nodes of a bucket that are compared pair by pair; the largest set (in shingles) that is brought to a group.
 CHUNK, BIG_SET = 512, 1 << 16
+#: The largest set whose print has 16 bits of a shingle: few of them then have the print of another by chance.
+SHORT_SET = 2048
 #: Counters of the sketch that says which shingles are rare (8 bytes each).
 SKETCH = 1 << 20
 BLOCK_RECORDS = 1_000_000
@@ -279,6 +281,57 @@ def best_partners(groups_: DataFrame) -> DataFrame:
     return dealt.mapInArrow(tidy(run), "bucket long, low int, high int, node long, partner long, est double")
 
 
+def prints(sets: DataFrame) -> DataFrame:
+    """(node, print) of sets (node, shingles): the shingles' upper bits in order, 16 of each in sets of at most `SHORT_SET`, else 32."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_ = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+            out = [b"\1" + (x >> np.uint64(48)).astype("<u2").tobytes() if len(x) <= SHORT_SET else b"\2" + (x >> np.uint64(32)).astype("<u4").tobytes() for x in all_]
+            yield pa.record_batch([batch.column("node"), pa.array(out, pa.binary())], ["node", "print"])
+
+    return sets.select("node", "shingles").mapInArrow(tidy(run), "node long, print binary")
+
+
+def hopeful(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(bucket, low, high, node): nodes of groups with prints that may have a link across components.
+
+    Shingles whose print is in the partner's are at least those that both sets share, so no pair at the threshold is lost.
+    A pair with a set that has no print may be one. A node needs one such partner: pairs of two nodes that have one aren't looked at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, [*GROUP, "own", "node", "root", "sig", "print"]):
+            wide = [g[7] is not None and g[7][:1] == b"\2" for g in group]
+            sets = [None if g[7] is None else np.frombuffer(g[7], "<u4" if w else "<u2", offset=1) for g, w in zip(group, wide)]
+            size, may = np.array([0 if x is None else len(x) for x in sets]), np.array([False] * len(group))
+            for i, j, _ in _crossing(group):
+                for a in np.unique(i):
+                    near = j[i == a]
+                    near = near[~(may[near] & may[a])]
+                    unknown = np.array([sets[a] is None or sets[b] is None for b in near], bool)
+                    if unknown.any():
+                        may[a] = may[near[unknown]] = True
+                    near = near[~unknown]
+                    # an overlap can't be larger than the smaller set
+                    near = near[100 * np.minimum(size[near], size[a]) >= percent * np.maximum(size[near], size[a])]
+                    for narrow in (False, True):
+                        of = [b for b in near if (wide[a] and wide[b]) != narrow]
+                        if not of:
+                            continue
+                        mine, *theirs = (sets[k] >> np.uint32(16) if narrow and wide[k] else sets[k] for k in (a, *of))
+                        cat, starts = np.concatenate(theirs), np.concatenate(([0], np.cumsum(size[of])[:-1]))
+                        at = np.minimum(np.searchsorted(mine, cat), size[a] - 1)
+                        both = np.add.reduceat((mine[at] == cat).astype(np.int64), starts)
+                        ok = np.array(of)[100 * both >= percent * (size[a] + size[of] - both)]
+                        if len(ok):
+                            may[a] = may[ok] = True
+            on = np.flatnonzero(may)
+            yield pa.record_batch([*(pa.array([g] * len(on), t) for g, t in zip(group[0][:3], (pa.int64(), pa.int32(), pa.int32()))), pa.array([group[k][4] for k in on], pa.int64())], [*GROUP, "node"])
+
+    dealt = groups_.repartition(*GROUP).sortWithinPartitions(*GROUP, "root")
+    return dealt.mapInArrow(tidy(run), "bucket long, low int, high int, node long")
+
+
 def links_in_place(groups_: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(u, v, sure): links across components, from groups with full sets; two components of a group are linked once. Pairs with a set that wasn't brought aren't sure."""
 
@@ -415,11 +468,16 @@ def linked(members: DataFrame, roots: DataFrame, sigs: DataFrame, rows: DataFram
     sets = full_sets(rows, best.select("node"))  # partners are nodes of the same group, so they are there too
     roots = merged(roots, confirmed(pairs, sets))
     brought = sets.filter(F.octet_length("shingles") <= 8 * BIG_SET)
-    groups_ = met(members, roots, sigs).join(best.select(*GROUP, "node"), [*GROUP, "node"], "left_semi").join(brought, "node", "left")
-    links = materialize(links_in_place(groups_))
-    if not links.isEmpty():
-        unsure = links.filter("not sure").select("u", "v").distinct()
-        roots = merged(roots, links.filter("sure").select("u", "v").unionByName(confirmed(unsure, sets)))
+    # full sets would travel to each of a node's groups; most partners are told apart by a quarter of them
+    groups_ = materialize(met(members, roots, sigs).join(best.select(*GROUP, "node"), [*GROUP, "node"], "left_semi"))
+    some = materialize(hopeful(groups_.join(prints(brought), "node", "left")), small=True)
+    if not some.isEmpty():
+        brought = brought.join(_few(materialize(some.select("node").distinct(), small=True)), "node", "left_semi")
+        links = materialize(links_in_place(groups_.join(some, [*GROUP, "node"], "left_semi").join(brought, "node", "left")))
+        unsure = materialize(links.filter("not sure").select("u", "v").distinct(), small=True)
+        sure = links.filter("sure").select("u", "v")
+        if not links.isEmpty():  # a join would shuffle all sets for no pair
+            roots = merged(roots, sure if unsure.isEmpty() else sure.unionByName(confirmed(unsure, sets)))
     drop_written(sets)
     return roots
 
