@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.operators import ingest as I
 from tidemark.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -42,6 +43,25 @@ def test_line_numbers_of_events_in_many_splits(spark, tmp_path, name):
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(columns, wanted.fetchall())
 
 
+def test_half_filled_store_is_not_read(spark, sql, tmp_path, monkeypatch):
+    data, compact, done = tmp_path / "data", I.Compactor._compact, []
+    data.symlink_to(DATA)
+
+    def stopped(self, todo):
+        if done:
+            raise OSError("stopped")
+        done.append(todo)
+        return compact(self, todo)
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "BATCH_FILES", 10)
+        m.setattr(I.Compactor, "_compact", stopped)
+        with pytest.raises(OSError, match="stopped"):
+            QUERIES["stored_rejects"](spark, str(data))
+    found, wanted = QUERIES["stored_rejects"](spark, str(data)), sql.execute(ORACLES["stored_rejects"])
+    assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows([d[0] for d in wanted.description], wanted.fetchall())
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

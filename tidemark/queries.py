@@ -197,8 +197,9 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], obj
     """The folder of a store that `make` fills, once per application and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MADE or not exists(spark, _MADE[key]):
-        _MADE[key] = scratch(spark)
-        make(_MADE[key])
+        root = scratch(spark)
+        make(root)
+        _MADE[key] = root  # only now: what a stopped run left is not read
     return _MADE[key]
 
 
