@@ -96,6 +96,19 @@ def test_landed_lines_are_in_order(spark, tmp_path, date, hour):
     assert sum(map(len, found.values())) == 5000 and len(found) > 1 and all(x == sorted(x) for x in found.values())
 
 
+def test_compaction_caches_nothing(spark, store, tmp_path, monkeypatch):
+    cached, write = [], I.write_parts
+
+    def seen(rows, root, name):
+        write(rows, root, name)
+        cached.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+
+    monkeypatch.setattr(I, "write_parts", seen)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    assert I.Compactor(spark, str(store[0]), str(tmp_path / "again")).run().reconciled
+    assert cached == [before] * len(DATASETS) and not list((tmp_path / "again").glob("_classified-*"))
+
+
 def test_compaction_twice_is_once(spark, store):
     raw, out, compactor = store
     result = compactor.run()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -19,6 +20,8 @@ REJECT_TEXT = 2000
 MANIFEST = "path string, size long, mtime_ns long, processed_at timestamp, total_lines long, rows_by_type map<string,long>, rejects long"
 #: Raw files that are compacted at once, and their bytes.
 BATCH_FILES, BATCH_BYTES = 1000, 64 << 30
+#: Bytes that a writer of classified lines holds at most before it writes them.
+GROUP_BYTES = 16 << 20
 #: What is read back of the stored datasets: no column but where rows lie.
 STORED = "ts_wall long, date string, part string"
 #: Output bytes expected of a raw byte, before anything is read.
@@ -176,8 +179,11 @@ class Compactor:
         return CompactionResult(done + (self._compact(held) if held else []))
 
     def _compact(self, todo: list[dict]) -> list[dict]:
-        rows = with_partition(classify(raw_lines(self.spark, [r["path"] for r in todo]))).persist()
+        # a table rather than a cache: blocks of a cache that go to disk are held a hundred at a time (400 MB) by the stream that writes them
+        held = f"{self.out_root}/_classified-{uuid.uuid4().hex}"
         try:
+            with_partition(classify(raw_lines(self.spark, [r["path"] for r in todo]))).write.option("parquet.block.size", str(GROUP_BYTES)).parquet(f"{held}/rows")
+            rows = self.spark.read.parquet(f"{held}/rows")
             for d in DATASETS.values():
                 self._emptied(f"{self.out_root}/type={d.name}", todo)
                 write_parts(rows_of(rows, d, *LAYOUT), self.out_root, d.name)
@@ -187,7 +193,7 @@ class Compactor:
             lines = line_counts(rows)
             found = {r["path"]: r.asDict() for r in reconcile(lines, self.stored(todo)).collect()}
         finally:
-            rows.unpersist()
+            delete(self.spark, held)
         sizes = {(r["date"], r["part"]): r["bytes"] for r in self._written(todo).groupBy("date", "part").agg(F.sum("bytes").alias("bytes")).collect()}
         empty = {"total_lines": 0, "rejects": 0, "reconciled": True, **{f"n_{t}": 0 for t in DATASETS}}
         result = [{**r, **empty, **found.get(r["path"], {}), "output_bytes": sizes.get((r["date"], r["part"]), 0)} for r in todo]
